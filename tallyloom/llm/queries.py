@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import mixing, rules
+from tallyloom.llm import mixing, packing, rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,5 +24,15 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op2_mixing": op2_mixing, "op4_quality_rules": op4_quality_rules}
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+QUERIES = {"op2_mixing": op2_mixing, "op4_quality_rules": op4_quality_rules, "op6_packing": op6_packing}
 ORACLE: dict[str, str] = {}
