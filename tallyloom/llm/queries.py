@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import mixing, packing, rules
+from tallyloom.llm import media, mixing, packing, pii, rules, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = media.media_columns(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", F.col("length").alias("media_bytes"), F.col("read_sha256").alias("media_sha256"), "feature", "width", "height", "shard", "offset")
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -34,5 +39,21 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {"op2_mixing": op2_mixing, "op4_quality_rules": op4_quality_rules, "op6_packing": op6_packing}
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.fit(docs), keep=["doc_id"])
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+QUERIES = {
+    "op2_mixing": op2_mixing,
+    "op4_quality_rules": op4_quality_rules,
+    "op5_media": op5_media,
+    "op6_packing": op6_packing,
+    "op8_pii": op8_pii,
+    "op10_url_filter": op10_url_filter,
+}
 ORACLE: dict[str, str] = {}
