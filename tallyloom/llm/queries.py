@@ -4,13 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import media, mixing, packing, pii, rules, urls
+from tallyloom.llm import importance, language, media, mixing, packing, pii, rules, toxicity, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.select(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", toxicity.held_out("doc_id", 4, 2))
+    model = language.fit(docs.filter("not held_out"))
+    return language.identify(docs, model, keep=["doc_id", "held_out"])
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", toxicity.held_out("doc_id", 5, 0))
+    labels = table(spark, sf_dir, "labels").filter(~toxicity.held_out("doc_id", 5, 0))
+    out = toxicity.score(docs, toxicity.fit(docs, labels), keep=["doc_id", "held_out"])
+    return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A source's last partial pass ends at a whole document, so taken is below target by less than one."""
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
@@ -49,10 +66,13 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_mixing": op2_mixing,
+    "op3_language": op3_language,
     "op4_quality_rules": op4_quality_rules,
     "op5_media": op5_media,
     "op6_packing": op6_packing,
+    "op7_toxicity": op7_toxicity,
     "op8_pii": op8_pii,
     "op10_url_filter": op10_url_filter,
 }
