@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import importance, language, media, mixing, packing, pii, rules, toxicity, urls
+from tallyloom.llm import importance, jaccard, language, media, mixing, packing, pii, rules, toxicity, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +61,10 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(docs, pii.fit(docs), keep=["doc_id"])
 
 
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents")).withColumnRenamed("component", "component_id")
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
 
@@ -74,6 +78,7 @@ QUERIES = {
     "op6_packing": op6_packing,
     "op7_toxicity": op7_toxicity,
     "op8_pii": op8_pii,
+    "op9_jaccard": op9_jaccard,
     "op10_url_filter": op10_url_filter,
 }
 ORACLE: dict[str, str] = {}
