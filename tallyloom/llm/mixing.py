@@ -77,34 +77,46 @@ def shares(sizes: dict, weights: Sequence[float], limit: float = MAX_REPEAT) ->
         capped |= {s: float(limit * sizes[s]) for s in above}
 
 
-def mix(rows: DataFrame, weights: Sequence[float] = (5, 2, 1), source: str = "source", size: str = "size", rank: str = "rank", limit: int = MAX_REPEAT) -> DataFrame:
-    """rows with `source_size`, `target` and `copies` (0 to limit): how often the mix takes a row.
+def plan_of(rows: DataFrame, weights: Sequence[float] = (5, 2, 1), source: str = "source", size: str = "size", rank: str = "rank", limit: int = MAX_REPEAT) -> DataFrame:
+    """The mix as one row per source: `_s`, source_size, target, whole passes and thresholds.
 
     A source of size S and target t takes every row floor(t / S) times and, once more, the rows
     below the hash threshold of its fractional budget. What the budget has left there goes, FILLS
     times, to rows above the threshold that are no larger than it. Rows of equal rank (repeated
-    rows) go together. Null sources are one source; null sizes count as 0. Empty tables give empty
-    results. The driver gets one row per source (a dimension), never rows.
+    rows) go together. Null sources are one source; null sizes count as 0. The driver gets one row
+    per source (a dimension), never rows.
     """
     spark = rows.sparkSession
     totals = {r[0]: int(r[1] or 0) for r in rows.groupBy(source).agg(F.sum(size)).collect()}
     target = shares(totals, weights, limit) if totals else {}
     kind = rows.schema[source].dataType.simpleString()
-    plan = [(s, n, float(target[s]), int(target[s] // n) if n else 0) for s, n in totals.items()]
-    plan = spark.createDataFrame([(s, n, t, w, t - w * n) for s, n, t, w in plan], f"_s {kind}, source_size bigint, target double, whole int, left double").withColumn("cuts", F.expr("array(struct(bigint(0) as below, bigint(0) as most))"))
-    for _ in range(1 + FILLS):
-        p = plan.select(F.col("_s").alias("_p"), "left", "cuts")
-        free = rows.join(p, rows[source].eqNullSafe(p["_p"])).filter(~_taken(rank, size) & (F.col(size) <= F.col("left"))) if _ else rows
+    plan = [(s, n, float(target[s]), min(limit, int(target[s] // n)) if n else 0) for s, n in totals.items()]
+    schema = f"_s {kind}, source_size bigint, target double, whole int, left double"
+    plan = spark.createDataFrame([(s, n, t, w, t - w * n) for s, n, t, w in plan], schema).withColumn("cuts", F.expr("array(struct(bigint(0) as below, bigint(0) as most))"))
+    for turn in range(1 + FILLS):
+        free = rows
+        if turn:
+            p = plan.select("_s", "left", "cuts")
+            free = rows.join(p, rows[source].eqNullSafe(p["_s"])).filter(~_taken(rank, size) & (F.col(size) <= F.col("left")))
         cuts = thresholds(free.select(source, size, rank), plan.select(F.col("_s").alias(source), F.col("left").alias("budget")), source, size, rank)
         cuts = cuts.select(F.col(source).alias("_c"), F.col("cut"), F.col("left").alias("_left"))
-        most = F.col("left").cast("bigint") if _ else F.lit((1 << 63) - 1)
-        plan = plan.join(cuts, F.col("_s").eqNullSafe(F.col("_c"))).withColumn(
-            "cuts", F.concat("cuts", F.array(F.struct(F.col("cut").alias("below"), most.alias("most"))))
-        ).withColumn("left", F.col("_left")).drop("_c", "cut", "_left")
-        plan = written(plan, "plan")
+        most = F.col("left").cast("bigint") if turn else F.lit((1 << 63) - 1)
+        plan = plan.join(cuts, F.col("_s").eqNullSafe(F.col("_c")))
+        plan = plan.withColumn("cuts", F.concat("cuts", F.array(F.struct(F.col("cut").alias("below"), most.alias("most"))))).withColumn("left", F.col("_left"))
+        plan = written(plan.drop("_c", "cut", "_left"), "plan")
+    return plan.withColumn("limit", F.lit(limit)).drop("left")
+
+
+def apply(rows: DataFrame, plan: DataFrame, source: str = "source", size: str = "size", rank: str = "rank") -> DataFrame:
+    """rows with `source_size`, `target` and `copies`: how often the mix takes a row (0 to the limit)."""
     out = rows.join(plan, rows[source].eqNullSafe(plan["_s"]))
-    once_more = F.when(_taken(rank, size) & (F.col("whole") < limit), 1).otherwise(0)
-    return out.withColumn("copies", F.col("whole") + once_more).drop("_s", "whole", "left", "cuts")
+    once_more = F.when(_taken(rank, size) & (F.col("whole") < F.col("limit")), 1).otherwise(0)
+    return out.withColumn("copies", F.col("whole") + once_more).drop("_s", "whole", "limit", "cuts")
+
+
+def mix(rows: DataFrame, weights: Sequence[float] = (5, 2, 1), source: str = "source", size: str = "size", rank: str = "rank", limit: int = MAX_REPEAT) -> DataFrame:
+    """rows with `source_size`, `target` and `copies`. Empty tables give empty results."""
+    return apply(rows, plan_of(rows, weights, source, size, rank, limit), source, size, rank)
 
 
 def _taken(rank: str, size: str) -> Column:
@@ -121,3 +133,14 @@ def mix_documents(docs: DataFrame, weights: Sequence[float] = (5, 2, 1)) -> Data
     rows = written(docs.select("doc_id", "source", n_words().alias("size"), row_hash("doc_id").alias("rank")), "sizes")
     out = mix(rows, weights)
     return out.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def repeat_documents(docs: DataFrame, weights: Sequence[float] = (5, 2, 1)) -> DataFrame:
+    """docs with each row as often as the mix takes it; columns as they were."""
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # names of docs may clash with the added ones
+    own = docs.toDF(*names.values())
+    sized = own.withColumns({"size": n_words(names["text"]), "rank": row_hash(names["doc_id"])})
+    plan = plan_of(written(sized.select(names["source"], "size", "rank"), "sizes"), weights, names["source"])
+    out = apply(sized, plan, names["source"]).filter("copies > 0")
+    out = out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return out.select(*names.values()).toDF(*docs.columns)
