@@ -1 +1 @@
-
+"""Operators on DataFrames: each is a function from DataFrames to a DataFrame."""

@@ -1,10 +1,8 @@
-"""Queries over the driver's tables, and the SQL that each is held against."""
+"""All queries over the driver's tables, and the SQL that each is held against."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from tallyloom.plans import marts, models, relational, scalars  # noqa: F401  they register their queries
+from tallyloom.plans.base import ORACLE, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]
