@@ -63,7 +63,7 @@ def z_tests(counts: DataFrame, keys: Sequence[str], cut: str, hits: str = "tb_n"
     pairs = side("a").join(side("b"), list(keys)).filter("value_a < value_b")
     z = stats.two_proportion_z(F.col("hits_a"), F.col("n_a"), F.col("hits_b"), F.col("n_b"))
     pairs = pairs.withColumn("z", z)
-    return pairs.select(*keys, "value_a", "value_b", "n_a", "n_b", F.round("z", 6).alias("z"), F.round(stats.two_sided_p(F.col("z")), 6).alias("p_value"))
+    return pairs.select(*keys, "value_a", "value_b", "n_a", "n_b", (F.round("z", 6) + 0.0).alias("z"), F.round(stats.two_sided_p(F.col("z")), 6).alias("p_value"))
 
 
 def compare_modalities(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -65,7 +65,7 @@ def _erf(x: str) -> str:
 
 @query(f"""with g as (select o_orderstatus, c_mktsegment as v, count(*) as n, count(*) filter (where is_tb) as h from {_ANSWERS} group by 1, 2),
   p as (select a.o_orderstatus, a.v as value_a, b.v as value_b, a.n as n_a, b.n as n_b, {_z("a.h", "a.n", "b.h", "b.n")} as z from g a join g b on a.o_orderstatus = b.o_orderstatus and a.v < b.v)
-  select o_orderstatus, value_a, value_b, n_a::bigint as n_a, n_b::bigint as n_b, round(z, 6) as z, round(1 - {_erf("(abs(z) / sqrt(2.0::double))")}, 6) as p_value from p""")
+  select o_orderstatus, value_a, value_b, n_a::bigint as n_a, n_b::bigint as n_b, round(z, 6) + 0.0 as z, round(1 - {_erf("(abs(z) / sqrt(2.0::double))")}, 6) as p_value from p""")
 def ztest_two_prop(t: Tables) -> DataFrame:
     return metrics.z_tests(metrics.banner_counts(answers(t), KEY, {"SEGMENT": "c_mktsegment"}), KEY, "SEGMENT")
 
@@ -114,7 +114,7 @@ def calibration_delta(t: Tables) -> DataFrame:
     return calibration.deltas(_shares(t, "BUILDING", "synthetic_pct").join(_shares(t, "MACHINERY", "human_pct"), ["o_orderstatus", "o_orderpriority"]))
 
 
-@query(f"""select o_orderstatus, count(*) as n, round(corr(a, b), 6) as rho from (select o_orderstatus,
+@query(f"""select o_orderstatus, count(*) as n, round(corr(a, b), 6) + 0.0 as rho from (select o_orderstatus,
   rank() over (partition by o_orderstatus order by a) + (count(*) over (partition by o_orderstatus, a) - 1) / 2 as a,
   rank() over (partition by o_orderstatus order by b) + (count(*) over (partition by o_orderstatus, b) - 1) / 2 as b
   from (select o_orderstatus, round(synthetic_pct, 2) as a, round(human_pct, 2) as b from {_BOTH})) group by 1""")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tallyloom.operators.reshape import question_blocks
 
@@ -35,6 +35,11 @@ def schema(n: int) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns(n)])
 
 
+def source_file() -> Column:
+    """The path of a row's file, without percent escapes."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def read(spark: SparkSession, paths: str | Sequence[str], n: int) -> DataFrame:
     """One family's files as text columns, with `_source_file` and `_loaded_at`.
 
@@ -42,7 +47,7 @@ def read(spark: SparkSession, paths: str | Sequence[str], n: int) -> DataFrame:
     the schema's, fails any action. The schema is always given, never inferred.
     """
     rows = spark.read.schema(schema(n)).options(header=True, multiLine=True, quote='"', escape='"', mode="FAILFAST", enforceSchema=False, encoding="UTF-8", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(paths)
-    return rows.select("*", F.col("_metadata.file_path").alias("_source_file"), F.current_timestamp().alias("_loaded_at"))
+    return rows.select("*", source_file().alias("_source_file"), F.current_timestamp().alias("_loaded_at"))
 
 
 def load(spark: SparkSession, globs: Mapping[str, str | Sequence[str]], blocks: Mapping[str, int] = SECTIONS) -> dict[str, DataFrame]:
