@@ -1,4 +1,4 @@
-"""Send this package to the executors, for sessions whose workers do not have it on their path."""
+"""Make a session ready for this package's Python stages."""
 
 from __future__ import annotations
 
@@ -11,9 +11,15 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 
+BATCH_ROWS = 2000
+
+
 def ship(spark: SparkSession) -> None:
-    """Add the package as a zip of its sources, once per Spark context."""
+    """Add the package as a zip of its sources, once per context, for workers that do not have it on
+    their path; and keep Arrow batches small, since a row is a whole text."""
     sc = spark.sparkContext
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     if getattr(sc, "_tallyloom_shipped", False):
         return
     root, data = Path(__file__).parent, io.BytesIO()
