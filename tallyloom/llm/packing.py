@@ -27,6 +27,8 @@ CAPACITY, END_ID = 4096, 2
 WINDOWS, SLACK = 32, 12
 #: The longest pieces of a group are cut into this sand, so that the last merges can level the windows.
 SAND = tuple(size for size in (256, 128, 64, 32, 16) for _ in range(16))
+#: If the windows still exceed the capacity, the group is cut this many times finer before their number rises.
+FINER = 3
 
 
 def difference(sizes: list[int], m: int) -> list[list[int]]:
@@ -98,22 +100,28 @@ class Packer:
 
     def group(self, m: int) -> None:
         """Pack the whole pool, which is just under m windows."""
-        pieces, order = [], sorted(range(len(self.pool)), key=lambda i: -len(self.pool[i][2]))
-        sand = list(SAND[: len(SAND) * m // self.m]) if m > 1 else []
-        cut: dict[int, list[int]] = {}
-        for i in order:  # the longest pieces give the sand
+        for grains in (SAND, tuple(s for s in SAND for _ in range(FINER))):
+            pieces = self.cut(list(grains[: len(grains) * m // self.m]) if m > 1 else [])
+            parts = windows([len(p[2]) for p in pieces], m, self.capacity)
+            if len(parts) <= m:
+                break
+        for part in parts:
+            self.fill([pieces[i] for i in part])
+        self.pool, self.held = [], 0
+
+    def cut(self, sand: list[int]) -> list[tuple[int, int, np.ndarray]]:
+        """The pool with its longest pieces cut into the sand."""
+        pieces, at = [], {}
+        for i in sorted(range(len(self.pool)), key=lambda i: -len(self.pool[i][2])):
             room = len(self.pool[i][2])
             while sand and sand[0] < room:
                 room -= sand[0]
-                cut.setdefault(i, []).append(sand.pop(0))
+                at.setdefault(i, []).append(sand.pop(0))
         for i, (doc, start, ids) in enumerate(self.pool):
-            at = 0
-            for n in [*cut.get(i, []), len(ids) - sum(cut.get(i, []))]:
-                pieces.append((doc, start + at, ids[at : at + n]))
-                at += n
-        for part in windows([len(p[2]) for p in pieces], m, self.capacity):
-            self.fill([pieces[i] for i in part])
-        self.pool, self.held = [], 0
+            for n in [*at.get(i, []), len(ids) - sum(at.get(i, []))]:
+                pieces.append((doc, start, ids[:n]))
+                start, ids = start + n, ids[n:]
+        return pieces
 
     def finish(self) -> None:
         """Whole windows first, then the rest in windows of falling powers of two."""

@@ -300,5 +300,7 @@ def find(docs: DataFrame, crf: Crf, text: str = "text", keep: list[str] | None =
 
 def redact(docs: DataFrame, crf: Crf, text: str = "text") -> DataFrame:
     """docs with every span of the text replaced by its kind in brackets; other rows and columns as they were."""
-    out = append(docs, text, partial(_masks, crf), [("_masked", "string"), ("_found", "bigint")])
-    return out.withColumn(text, F.coalesce("_masked", text)).drop("_masked", "_found")
+    own = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))  # names of docs may clash with the added ones
+    at = f"c{docs.columns.index(text)}"
+    out = append(own, at, partial(_masks, crf), [("masked", "string"), ("found", "bigint")])
+    return out.withColumn(at, F.coalesce("masked", at)).drop("masked", "found").toDF(*docs.columns)

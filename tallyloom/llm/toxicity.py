@@ -139,7 +139,7 @@ class Model:
 
 def _logistic(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray, scale: np.ndarray, steps: int = 400, ridge: float = 1e-4) -> tuple[np.ndarray, float]:
     """Weights over binary features times `scale`, and the intercept, by full-batch Adam."""
-    first = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+    first = np.cumsum([0, *map(len, rows)], dtype=np.int64)
     col = np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64)
     of = np.repeat(np.arange(len(rows)), np.diff(first))
     w, b = np.zeros(len(scale)), float(np.log((weight[y == 1].sum() + 1) / (weight[y == 0].sum() + 1)))
