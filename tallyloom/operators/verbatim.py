@@ -72,3 +72,8 @@ def features(coded: DataFrame, key: str, themes: Sequence[str]) -> DataFrame:
     sides = {f"share_{s}": share(F.col("sentiment") == s) for s in ("positive", "negative")}
     both = {f"theme_{t}": share(F.coalesce((F.col("primary_theme") == t) | (F.col("secondary_theme") == t), F.lit(False))) for t in themes}
     return coded.groupBy(key).agg(*[c.alias(n) for n, c in (sides | both).items()])
+
+
+def audit_sample(coded: DataFrame, key: str, n: int = 100) -> DataFrame:
+    """n rows for a human to check: those whose keys have the least digests, so a rerun gives the same ones."""
+    return coded.orderBy(F.md5(F.col(key).cast("string")), key).limit(n)

@@ -76,6 +76,11 @@ def verbatim_codes(t: Tables) -> DataFrame:
     return coded(t).select("doc_id", "sentiment", "primary_theme", "secondary_theme", "mentions", "is_actionable")
 
 
+@query("select doc_id, lang from documents order by md5(doc_id::varchar), doc_id limit 100")
+def audit_sample(t: Tables) -> DataFrame:
+    return verbatim.audit_sample(t.documents.select("doc_id", "lang"), "doc_id")
+
+
 @query()
 def verbatim_drivers(t: Tables) -> DataFrame:
     feats = verbatim.features(coded(t), "doc_id", list(_THEMES))
