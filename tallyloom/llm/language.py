@@ -261,6 +261,8 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str]
     """The kept columns, lang_pred, score (share of its words with letters in that language) and spans.
 
     spans: lang:first word:word after the last, comma-joined. Null texts and texts without a letter
-    are `und`, 0 and no spans. A text in no learned script gets the language learned most from.
+    are `und`, 0 and no spans. A text in no learned script gets the language learned most from, as
+    does a tie. Repeated rows get equal labels. Texts count whole. Without training rows all are
+    `und`. An empty table gives no rows.
     """
     return append(docs, text, partial(_make, model), [("lang_pred", "string"), ("score", "double"), ("spans", "string")], keep, size=1 << 21)

@@ -129,14 +129,23 @@ def n_words(text: str = "text") -> Column:
 
 
 def mix_documents(docs: DataFrame, weights: Sequence[float] = (5, 2, 1)) -> DataFrame:
-    """doc_id, size, source_size, target, taken of every document; texts are read once."""
+    """doc_id, size, source_size, target, taken of every document; texts are read once.
+
+    Null and empty texts have size 0 and taken 0. Null sources are one source, the last. Repeated
+    rows have one hash: they are taken or left together, and a null doc_id counts as empty text.
+    Texts count whole. An empty table gives no rows.
+    """
     rows = written(docs.select("doc_id", "source", n_words().alias("size"), row_hash("doc_id").alias("rank")), "sizes")
     out = mix(rows, weights)
     return out.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def repeat_documents(docs: DataFrame, weights: Sequence[float] = (5, 2, 1)) -> DataFrame:
-    """docs with each row as often as the mix takes it; columns as they were."""
+    """docs with each row as often as the mix takes it; columns as they were, whatever their names.
+
+    A source's share of words decides; rows of size 0 go as often as their source's whole passes,
+    and once more where their hash is below its threshold.
+    """
     names = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # names of docs may clash with the added ones
     own = docs.toDF(*names.values())
     sized = own.withColumns({"size": n_words(names["text"]), "rank": row_hash(names["doc_id"])})

@@ -294,12 +294,17 @@ def find(docs: DataFrame, crf: Crf, text: str = "text", keep: list[str] | None =
     """The kept columns, base counts by kind, base_sha256 and all spans of every row.
 
     Offsets are code points. Null and empty texts have no spans (the digest of an empty string).
+    Each document is its own graph, so repeated rows get equal spans. Texts count whole; one of n
+    look-alikes has at most 3 n edges. An empty table gives no rows.
     """
     return append(docs, text, partial(_digests, crf), FIELDS, keep)
 
 
 def redact(docs: DataFrame, crf: Crf, text: str = "text") -> DataFrame:
-    """docs with every span of the text replaced by its kind in brackets; other rows and columns as they were."""
+    """docs with every span of the text replaced by its kind in brackets; other rows and columns as they were.
+
+    Null and empty texts stay as they are. Overlapping spans become one mark, the first one's.
+    """
     own = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))  # names of docs may clash with the added ones
     at = f"c{docs.columns.index(text)}"
     out = append(own, at, partial(_masks, crf), [("masked", "string"), ("found", "bigint")])

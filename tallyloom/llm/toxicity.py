@@ -192,7 +192,11 @@ def _make(model: Model):
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The kept columns and `score` (0 to 1) of every row; null and empty texts get the intercept's score."""
+    """The kept columns and `score` (0 to 1) of every row.
+
+    Null, empty and very short texts, which have no n-grams, get the intercept's score. Repeated
+    rows and equal texts score alike. Texts count whole. An empty table gives no rows.
+    """
     return append(docs, text, partial(_make, model), [("score", "double")], keep)
 
 
