@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyloom.functions import parse, text
 
+#: The creative of each letter code in group names.
 CREATIVES = {"G": "Goyer", "S": "Sheridan"}
 NO_CHILDREN = "no_children"
 

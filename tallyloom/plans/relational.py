@@ -109,11 +109,11 @@ def agg_minmax(t: Tables) -> DataFrame:
     return t.orders.groupBy("o_orderstatus").agg(F.min("o_totalprice").alias("least"), F.max("o_totalprice").alias("most"), F.min("o_orderdate").alias("first_date"))
 
 
-@query("""select 'read_' || f as run_id, min('in/3-ARENA-FF-' || upper(f) || '.csv') as source_file, count(*) as n_rows from
+@query("""select 'read_' || f as run_id, min('in/7-STUDY-' || upper(f) || '.csv') as source_file, count(*) as n_rows from
   (select case when o_orderstatus = 'F' then 'g' else 's' end || '_gr' || (o_custkey % 2 + 1) || '_2_' || (o_orderkey % 3 + 1) as f from orders) group by f""")
 def dim_run_like(t: Tables) -> DataFrame:
     run = F.concat(F.when(c("o_orderstatus") == "F", "G").otherwise("S"), F.lit("_GR"), (c("o_custkey") % 2 + 1).cast("string"), F.lit("_2_"), (c("o_orderkey") % 3 + 1).cast("string"))
-    rows = t.orders.select(F.concat(F.lit("in/3-ARENA-FF-"), run, F.lit(".csv")).alias("_source_file"))
+    rows = t.orders.select(F.concat(F.lit("in/7-STUDY-"), run, F.lit(".csv")).alias("_source_file"))
     return model.runs(rows).select("run_id", "source_file", "n_rows")
 
 

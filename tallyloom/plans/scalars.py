@@ -193,12 +193,12 @@ def quote_norm(t: Tables) -> DataFrame:
 
 @query("""select c_custkey, case when g like '%-G-%' then 'Goyer' when g like '%-S-%' then 'Sheridan' end as creative,
   nullif(regexp_extract(g, '-([A-Z])-', 1), '') || '.' || nullif(regexp_extract(g, '\\.([0-9])$', 1), '') as cohort from
-  (select c_custkey, 'ARENA-' || (case c_nationkey % 3 when 0 then 'G' when 1 then 'S' else 'x' end) || '-gr.' || (case when c_custkey % 10 = 0 then '' else (c_custkey % 4)::varchar end) as g from customer)""")
+  (select c_custkey, 'STUDY-' || (case c_nationkey % 3 when 0 then 'G' when 1 then 'S' else 'x' end) || '-gr.' || (case when c_custkey % 10 = 0 then '' else (c_custkey % 4)::varchar end) as g from customer)""")
 def cohort_code(t: Tables) -> DataFrame:
     from tallyloom.operators.model import CREATIVES
 
     letter = F.when(c("c_nationkey") % 3 == 0, "G").when(c("c_nationkey") % 3 == 1, "S").otherwise("x")
-    g = F.concat(F.lit("ARENA-"), letter, F.lit("-gr."), F.when(c("c_custkey") % 10 == 0, "").otherwise((c("c_custkey") % 4).cast("string")))
+    g = F.concat(F.lit("STUDY-"), letter, F.lit("-gr."), F.when(c("c_custkey") % 10 == 0, "").otherwise((c("c_custkey") % 4).cast("string")))
     return t.customer.select("c_custkey", text.creative(g, CREATIVES).alias("creative"), text.cohort(g).alias("cohort"))
 
 
@@ -207,7 +207,7 @@ def cohort_code(t: Tables) -> DataFrame:
 def file_slug(t: Tables) -> DataFrame:
     n = c("c_custkey")
     name = F.concat(
-        F.lit("in/3-ARENA-FF-"), F.when(c("c_nationkey") % 2 == 0, "G").otherwise("S"), F.lit("-gr"), (n % 3).cast("string"), F.lit("-2."), (n % 3 + 1).cast("string"),
+        F.lit("in/7-STUDY-"), F.when(c("c_nationkey") % 2 == 0, "G").otherwise("S"), F.lit("-gr"), (n % 3).cast("string"), F.lit("-2."), (n % 3 + 1).cast("string"),
         F.when(n % 5 == 0, "X").otherwise(""), F.lit(" — Results-c.csv"),
     )
     run = text.slug_column(name)

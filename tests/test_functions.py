@@ -56,7 +56,7 @@ def test_gender_and_quotes(spark):
 
 @pytest.mark.parametrize(
     ("name", "run", "section", "combined"),
-    [("3-ARENA-FF-G-gr1-2.1X — Results-c.csv", "read_g_gr1_2_1x", "2.1", True), ("3-ARENA-FF-S-gr2-2.3 — Results-c.csv", "read_s_gr2_2_3", "2.3", False)],
+    [("7-STUDY-G-gr1-2.1X — Results-c.csv", "read_g_gr1_2_1x", "2.1", True), ("7-STUDY-S-gr2-2.3 — Results-c.csv", "read_s_gr2_2_3", "2.3", False)],
 )
 def test_slug(spark, name, run, section, combined):
     assert text.slug(name) == run

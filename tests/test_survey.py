@@ -43,9 +43,9 @@ def write(path, rows, columns=None):
 @pytest.fixture(scope="module")
 def files(tmp_path_factory):
     d = tmp_path_factory.mktemp("survey")
-    write(d / "3-ARENA-FF-G-gr1-2.1X — Results-c.csv", [wide_row(*PERSONAS[0], blocks(1, "line1\nline2")), wide_row(*PERSONAS[1], blocks(2, 'say "hi", ok'))])
-    write(d / "3-ARENA-FF-G-gr2-2.1 — Results-c.csv", [wide_row(*PERSONAS[1], blocks(3, "it’s “so”"))])
-    write(d / "3-ARENA-FF-S-gr1-2.1 — Results-c.csv", [wide_row(*PERSONAS[2], blocks(5, ""))])
+    write(d / "7-STUDY-G-gr1-2.1X — Results-c.csv", [wide_row(*PERSONAS[0], blocks(1, "line1\nline2")), wide_row(*PERSONAS[1], blocks(2, 'say "hi", ok'))])
+    write(d / "7-STUDY-G-gr2-2.1 — Results-c.csv", [wide_row(*PERSONAS[1], blocks(3, "it’s “so”"))])
+    write(d / "7-STUDY-S-gr1-2.1 — Results-c.csv", [wide_row(*PERSONAS[2], blocks(5, ""))])
     return d
 
 
