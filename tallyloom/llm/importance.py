@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyloom.llm import mixing
 from tallyloom.llm.scratch import written
-from tallyloom.llm.textblock import WORDPUNCT, Block, Tokens, append, blocks, mix, windows
+from tallyloom.llm.textblock import WORDPUNCT, Block, Tokens, append, blocks, freeing, mix, windows
 from tallyloom.shipping import ship
 
 #: Tokens of an n-gram, buckets of the models (a power of two), labelled target rows read at most.
@@ -61,6 +61,7 @@ def grams(block: Block) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([h >> _U(64 - BUCKET_BITS) for h, _ in found]).astype(np.int64), np.concatenate([doc[at] for _, at in found])
 
 
+@freeing
 def _counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     n = 1 << BUCKET_BITS
     raw, target = np.zeros(n, np.int64), np.zeros(n, np.int64)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tallyloom.llm.scratch import written
-from tallyloom.llm.textblock import WORDPUNCT, Block, Tokens, append, blocks, sums
+from tallyloom.llm.textblock import WORDPUNCT, Block, Tokens, append, blocks, freeing, sums
 from tallyloom.shipping import ship
 
 UND = "und"
@@ -212,6 +212,7 @@ def label(block: Block, model: Model) -> list:
     return [pred, conf, [s if ok else "" for s, ok in zip(spans, known, strict=True)]]
 
 
+@freeing
 def _counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Buckets, scripts and words by language: key is a bucket, then -1 - script, then -100 for words."""
     total: dict[str, tuple[np.ndarray, np.ndarray, list]] = {}
@@ -265,4 +266,4 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str]
     does a tie. Repeated rows get equal labels. Texts count whole. Without training rows all are
     `und`. An empty table gives no rows.
     """
-    return append(docs, text, partial(_make, model), [("lang_pred", "string"), ("score", "double"), ("spans", "string")], keep, size=1 << 21)
+    return append(docs, text, partial(_make, model), [("lang_pred", "string"), ("score", "double"), ("spans", "string")], keep)

@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from tallyloom.llm.scratch import fresh_path, written
+from tallyloom.llm.textblock import freeing
 from tallyloom.shipping import ship
 
 WIDTH, LEVEL = 192, 1
@@ -117,6 +118,7 @@ class Shard:
 INDEX = "n_bytes bigint, digest string, shard string, offset bigint, length bigint"
 
 
+@freeing
 def _store(batches: Iterable[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
     task = TaskContext.get()
     shard = Shard(folder, f"shard-{task.partitionId():06d}-{task.taskAttemptId()}.tar")
@@ -143,6 +145,7 @@ def store(docs: DataFrame, folder: str, key: str = "doc_id", text: str = "text")
     return rows.select("key", "n_bytes", "digest").join(one, "digest").select(F.col("key").alias(key), "n_bytes", "digest", "at.shard", "at.offset", "at.length")
 
 
+@freeing
 def _ranges(batches: Iterable[pa.RecordBatch], folder: str, whole: bool) -> Iterator[pa.RecordBatch]:
     files, path = pafs.FileSystem.from_uri(folder)
     name, f = None, None

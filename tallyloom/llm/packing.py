@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tallyloom.llm.textblock import arrow_type, blocks
+from tallyloom.llm.textblock import arrow_type, blocks, freeing
 from tallyloom.llm.tokens import WordTokens
 from tallyloom.shipping import ship
 
@@ -157,6 +157,7 @@ class Packer:
 FIELDS = "start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
+@freeing
 def _pack(batches: Iterable[pa.RecordBatch], tokenizer: str, capacity: int, key: pa.DataType) -> Iterator[pa.RecordBatch]:
     encode, packer, base = WordTokens.of(tokenizer), Packer(capacity), TaskContext.get().partitionId() << 32
     ids_of: dict[int, tuple] = {}  # of documents with pieces still to come: id and tokens

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallyloom.llm.textblock import Block, append, blocks
+from tallyloom.llm.textblock import Block, append, blocks, freeing
 from tallyloom.shipping import ship
 
 KINDS = ("email", "ip", "card", "phone")
@@ -212,6 +212,7 @@ def graph(text: str) -> tuple[list, list, list, list]:
 MODEL_FIELDS = "features array<double>, labels array<int>, edges array<int>"
 
 
+@freeing
 def _graphs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for _, _, block in blocks(b.column(0)):

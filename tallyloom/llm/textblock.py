@@ -7,8 +7,9 @@ BLOCK_BYTES, or one text where that is longer, so memory follows the longest tex
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
-from functools import partial
+from functools import partial, wraps
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from tallyloom.shipping import ship
 
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15 | 1)
 _INVERSE = _U(pow(int(_BASE), -1, 1 << 64))
@@ -154,20 +155,39 @@ def blocks(column: pa.Array, size: int = BLOCK_BYTES) -> Iterator[tuple[int, int
         lo = hi
 
 
+def freeing(f: Callable) -> Callable:
+    """f, a generator over Arrow batches, which gives memory back to the system when a task ends.
+
+    Workers live on between tasks; what their allocators would keep counts against the executor.
+    """
+
+    @wraps(f)
+    def run(*args, **kwargs):
+        try:
+            yield from f(*args, **kwargs)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+                libc.malloc_trim(0)
+
+    return run
+
+
 def arrow_type(spec: str) -> pa.DataType:
     return to_arrow_schema(T._parse_datatype_string(f"x {spec}")).field(0).type
 
 
-def _appended(batches: Iterable[pa.RecordBatch], make, text: str, keep: list[str], fields: list[tuple[str, pa.DataType]], size: int) -> Iterator[pa.RecordBatch]:
+@freeing
+def _appended(batches: Iterable[pa.RecordBatch], make, text: str, keep: list[str], fields: list[tuple[str, pa.DataType]]) -> Iterator[pa.RecordBatch]:
     work = make()
     for batch in batches:
-        for lo, hi, block in blocks(batch.column(batch.schema.get_field_index(text)), size):
+        for lo, hi, block in blocks(batch.column(batch.schema.get_field_index(text))):
             got = work(block)
             own = [batch.column(batch.schema.get_field_index(k)).slice(lo, hi - lo) for k in keep]
             yield pa.RecordBatch.from_arrays([*own, *(v if isinstance(v, pa.Array) else pa.array(v, t) for v, (_, t) in zip(got, fields, strict=True))], names=[*keep, *(f for f, _ in fields)])
 
 
-def append(df: DataFrame, text: str, make: Callable[[], Callable[[Block], list]], fields: list[tuple[str, str]], keep: list[str] | None = None, size: int = BLOCK_BYTES) -> DataFrame:
+def append(df: DataFrame, text: str, make: Callable[[], Callable[[Block], list]], fields: list[tuple[str, str]], keep: list[str] | None = None) -> DataFrame:
     """Add columns computed from the text column, block by block, without a shuffle.
 
     make() runs once per task and returns a function from a Block to one value list per field.
@@ -177,4 +197,4 @@ def append(df: DataFrame, text: str, make: Callable[[], Callable[[Block], list]]
     keep = list(df.columns if keep is None else keep)
     src = df.select(*dict.fromkeys([*keep, text]))
     schema = T.StructType([src.schema[k] for k in keep] + [T.StructField(f, T._parse_datatype_string(t)) for f, t in fields])
-    return src.mapInArrow(partial(_appended, make=make, text=text, keep=keep, fields=[(f, arrow_type(t)) for f, t in fields], size=size), schema)
+    return src.mapInArrow(partial(_appended, make=make, text=text, keep=keep, fields=[(f, arrow_type(t)) for f, t in fields]), schema)

@@ -15,7 +15,7 @@ import numpy as np
 from tallyloom.llm.textblock import WORDS, Block
 
 #: Words a worker remembers at most; later ones are encoded each time they occur in a block.
-CACHE = 1_500_000
+CACHE = 1_000_000
 _KIND = np.ones(256, np.uint8)
 _KIND[[32, *range(9, 14)]] = 0
 _KIND[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 2

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyloom.llm.scratch import written
-from tallyloom.llm.textblock import Block, append, blocks, sums
+from tallyloom.llm.textblock import Block, append, blocks, freeing, sums
 from tallyloom.shipping import ship
 
 #: Characters of an n-gram; labelled rows of each class that are fitted on at most; n-grams kept.
@@ -67,6 +67,7 @@ def _labelled(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, B
             yield y[lo:hi], block
 
 
+@freeing
 def _bucket_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros((2, 1 << BUCKET_BITS), np.int64)
     for y, block in _labelled(batches):
@@ -78,6 +79,7 @@ def _bucket_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[0, at]), pa.array(total[1, at])], names=["gram", "n0", "n1"])
 
 
+@freeing
 def _gram_counts(batches: Iterable[pa.RecordBatch], telling: np.ndarray) -> Iterator[pa.RecordBatch]:
     ok = np.zeros(1 << BUCKET_BITS, bool)
     ok[telling] = True
@@ -88,6 +90,7 @@ def _gram_counts(batches: Iterable[pa.RecordBatch], telling: np.ndarray) -> Iter
         yield pa.RecordBatch.from_arrays([pa.array(uniq.view(np.int64)), pa.array(n[0]), pa.array(n[1])], names=["gram", "n0", "n1"])
 
 
+@freeing
 def _texts(batches: Iterable[pa.RecordBatch], keys: np.ndarray) -> Iterator[pa.RecordBatch]:
     for y, block in _labelled(batches):
         doc, h = present(block, partial(_among, keys=keys))

@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyloom.llm.boosting import Boosted
+from tallyloom.llm.textblock import freeing
 from tallyloom.shipping import ship
 
 #: Verdict, host, path prefix.
@@ -87,6 +88,7 @@ class UrlModel:
         return self.trees.score(self.features(urls))
 
 
+@freeing
 def _scored(batches: Iterable[pa.RecordBatch], model: UrlModel) -> Iterator[pa.RecordBatch]:
     for b in batches:
         yield pa.RecordBatch.from_arrays([*b.columns, pa.array(model.score(b.column("url").to_pylist()), pa.float64())], names=[*b.schema.names, "score"])
