@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -12,7 +14,9 @@ def scratch_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; an own one only where that is unset (tests)."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="tallyloom-")
+        own = tempfile.mkdtemp(prefix="tallyloom-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        base = f"file://{own}"
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
