@@ -25,7 +25,7 @@ from tallyloom.llm.scratch import fresh_path, written
 from tallyloom.llm.textblock import freeing
 from tallyloom.shipping import ship
 
-WIDTH, LEVEL = 192, 1
+WIDTH, LEVEL = 192, 4
 #: Bytes of a stored payload up to the end of its size fields.
 HEADER = 24
 _SIGNATURE = b"\x89PNG\r\n\x1a\n"
