@@ -27,7 +27,8 @@ def deltas(df: DataFrame, ours: str = "synthetic_pct", theirs: str = "human_pct"
 
 
 def spearman(df: DataFrame, by: Sequence[str], a: str, b: str) -> DataFrame:
-    """Rank correlation per group, tied values at their mean rank."""
+    """Rank correlation per group, tied values at their mean rank; null where either side is all ties."""
     rank = lambda c: F.rank().over(Window.partitionBy(*by).orderBy(c)) + (F.count("*").over(Window.partitionBy(*by, c)) - 1) / 2
     ranked = df.withColumns({"_a": rank(a), "_b": rank(b)})
-    return ranked.groupBy(*by).agg(F.count("*").alias("n"), (F.round(F.corr("_a", "_b"), 6) + 0.0).alias("rho"))
+    rho = F.try_divide(F.covar_pop("_a", "_b"), F.stddev_pop("_a") * F.stddev_pop("_b"))
+    return ranked.groupBy(*by).agg(F.count("*").alias("n"), (F.round(rho, 6) + 0.0).alias("rho"))

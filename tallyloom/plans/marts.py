@@ -114,7 +114,7 @@ def calibration_delta(t: Tables) -> DataFrame:
     return calibration.deltas(_shares(t, "BUILDING", "synthetic_pct").join(_shares(t, "MACHINERY", "human_pct"), ["o_orderstatus", "o_orderpriority"]))
 
 
-@query(f"""select o_orderstatus, count(*) as n, round(corr(a, b), 6) + 0.0 as rho from (select o_orderstatus,
+@query(f"""select o_orderstatus, count(*) as n, round(covar_pop(a, b) / nullif(stddev_pop(a) * stddev_pop(b), 0), 6) + 0.0 as rho from (select o_orderstatus,
   rank() over (partition by o_orderstatus order by a) + (count(*) over (partition by o_orderstatus, a) - 1) / 2 as a,
   rank() over (partition by o_orderstatus order by b) + (count(*) over (partition by o_orderstatus, b) - 1) / 2 as b
   from (select o_orderstatus, round(synthetic_pct, 2) as a, round(human_pct, 2) as b from {_BOTH})) group by 1""")
