@@ -1,6 +1,7 @@
 import hashlib
 import re
 
+import numpy as np
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -84,3 +85,39 @@ def test_awkward_rows(spark):
     assert pii.redact(docs, crf).count() == docs.count()
     assert pii.redact(docs, crf).filter("doc_id = 2 and text is null").count() == 1
     assert pii.find(empty(spark), pii.fit(empty(spark))).count() == 0
+
+
+def test_labels_reach_every_repeat_of_a_long_document(spark):
+    crf = fitted(spark)[1]
+    far = f" {'word ' * 60}"
+    repeats = ["4875557209"] * 40
+    for parts in (["+1 (487) 555-7209", *repeats], [*repeats, "+1 (487) 555-7209"]):
+        text = far.join(parts)
+        got = pii.find(spark.createDataFrame([(1, text)], "doc_id bigint, text string"), crf).first().spans
+        assert got.count("phone:") == len(parts)
+    text = far.join(repeats)  # nothing matched: nothing to agree with
+    assert not any(kind == 1 and (a == 0 and b > 2) for a, b, kind in pii.graph(text)[3])
+
+
+def test_messages_stand_still(spark):
+    """Labels along a chain of repeats alone are those of the exact chain, however long."""
+    n, k = 60, pii.NONE + 1
+    unary = np.zeros((pii.FEATURES, k))
+    unary[0] = [-9, -9, -9, -4, 0]
+    crf = pii.Crf(unary, np.zeros((k, k)), 4.5)
+    x = np.zeros((n, pii.FEATURES))
+    x[:, 0] = 1
+    known = np.array([3] + [pii.NONE] * (n - 1))
+    edges = np.array([(i, i + 1, 1) for i in range(n - 1)])
+    u, pot = np.tile(unary[0], (n, 1)), np.eye(k) * 4.5
+    u[:, 0] = -30
+    u[0] = [-30, -30, -30, 0, -30]
+    pot[pii.NONE, pii.NONE] = 0
+    ahead, behind = np.zeros((n, k)), np.zeros((n, k))
+    for i in range(1, n):
+        ahead[i] = np.log(np.exp((u[i - 1] + ahead[i - 1])[:, None] + pot).sum(0))
+    for i in range(n - 2, -1, -1):
+        behind[i] = np.log(np.exp(pot + (u[i + 1] + behind[i + 1])[None]).sum(1))
+    want = (u + ahead + behind).argmax(1)
+    assert crf.labels(x, known, edges, np.zeros(n, int)).tolist() == want.tolist()
+    assert (want == 3).sum() > 10
