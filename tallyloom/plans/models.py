@@ -50,7 +50,7 @@ def ml_boosted(t: Tables) -> DataFrame:
 
 @query()
 def ml_segments(t: Tables) -> DataFrame:
-    found, _ = ml.fit_segments(t.embeddings.select("label", F.transform("embedding", lambda v: v.cast("double")).alias("x")), "x", ks=(3, 5, 8))
+    found, _ = ml.fit_segments(t.embeddings.select("label", F.transform("embedding", lambda v: v.cast("double")).alias("x")), "x")
     return ml.crosstab(found, "label", "segment")
 
 

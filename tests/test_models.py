@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from tallyloom.operators import ml, verbatim
+from tallyloom.plans import registry
 
 
 def test_driver_ranking_finds_the_signal(spark):
@@ -25,6 +26,14 @@ def test_segments_find_the_clusters(spark):
     assert ml.crosstab(found, "g", "segment").count() == 3
 
 
+def test_segments_query_tries_every_k(spark, tmp_path):
+    corners = [(0.0, 0.0), (0.0, 9.0), (9.0, 0.0), (9.0, 9.0)]
+    rows = [(i % 4, [corners[i % 4][0] + i % 7 / 20, corners[i % 4][1] + i % 5 / 20]) for i in range(200)]
+    spark.createDataFrame(rows, "label int, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = registry.QUERIES["ml_segments"](spark, str(tmp_path))
+    assert got.select("segment").distinct().count() == 4
+
+
 def test_coder(spark):
     coder = verbatim.KeywordCoder({"fight": ["punch"], "film": ["movie"]}, ["good"], ["bad"], ["punch"], ["please"])
     rows = spark.createDataFrame([(1, "Good movie, good PUNCH"), (2, "bad"), (3, ""), (4, None), (5, "bad")], "id int, t string")
