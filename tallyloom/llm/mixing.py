@@ -3,7 +3,8 @@
 Rows of a source are ranked by a hash, never sorted. A budget is the sum of sizes a source may
 take; it is met by a hash threshold, found from a histogram of sizes by source and hash bucket.
 Only rows of the bucket that the budget falls into are looked at again, by the next hash bits.
-Budgets are nested: a larger budget keeps every row that a smaller one took.
+Budgets are nested: a larger budget keeps every row that a smaller one took. Where several rows
+have the rank that the budget falls into, a second hash splits them, and equal rows by count.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ BITS, LEVELS = 15, 3
 MAX_REPEAT = 3
 #: How often what a budget has left, for the boundary row was too large, is offered to smaller rows.
 FILLS = 2
+#: Equal rows that are written out together.
+CHUNK = 1024
 
 
 def row_hash(*cols: str) -> Column:
@@ -27,6 +30,11 @@ def row_hash(*cols: str) -> Column:
     return F.shiftright(F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("bigint"), 48 - BITS * LEVELS)
 
 
+def tie_hash(*cols: str) -> Column:
+    """BITS * LEVELS bits that depend on all of the columns and on which of them are null."""
+    return F.shiftrightunsigned(F.xxhash64(*cols, *[F.col(c).isNull() for c in cols]), 64 - BITS * LEVELS)
+
+
 def thresholds(rows: DataFrame, budgets: DataFrame, group: str, size: str, rank: str) -> DataFrame:
     """Per group: `cut`, so that rows with rank < cut sum to the budget or just below it, and `left`.
 
@@ -77,13 +85,14 @@ def shares(sizes: dict, weights: Sequence[float], limit: float = MAX_REPEAT) ->
         capped |= {s: float(limit * sizes[s]) for s in above}
 
 
-def plan_of(rows: DataFrame, weights: Sequence[float] = (5, 2, 1), source: str = "source", size: str = "size", rank: str = "rank", limit: int = MAX_REPEAT) -> DataFrame:
+def plan_of(rows: DataFrame, weights: Sequence[float] = (5, 2, 1), source: str = "source", size: str = "size", rank: str = "rank", limit: int = MAX_REPEAT, tie: str | None = None) -> DataFrame:
     """The mix as one row per source: `_s`, source_size, target, whole passes and thresholds.
 
     A source of size S and target t takes every row floor(t / S) times and, once more, the rows
     below the hash threshold of its fractional budget. What the budget has left there goes, FILLS
-    times, to rows above the threshold that are no larger than it. Rows of equal rank (repeated
-    rows) go together. Null sources are one source; null sizes count as 0. The driver gets one row
+    times, to rows above the threshold that are no larger than it. Rows of equal rank go together,
+    but at a threshold `tie` (from tie_hash) splits them, and as many of equal rows go as fit.
+    Without a tie they go together there too. Null sources are one source; null sizes count as 0. The driver gets one row
     per source (a dimension), never rows.
     """
     spark = rows.sparkSession
@@ -92,36 +101,68 @@ def plan_of(rows: DataFrame, weights: Sequence[float] = (5, 2, 1), source: str =
     kind = rows.schema[source].dataType.simpleString()
     plan = [(s, n, float(target[s]), min(limit, int(target[s] // n)) if n else 0) for s, n in totals.items()]
     schema = f"_s {kind}, source_size bigint, target double, whole int, left double"
-    plan = spark.createDataFrame([(s, n, t, w, t - w * n) for s, n, t, w in plan], schema).withColumn("cuts", F.expr("array(struct(bigint(0) as below, bigint(0) as most))"))
+    plan = spark.createDataFrame([(s, n, t, w, t - w * n) for s, n, t, w in plan], schema).withColumn("cuts", F.expr("array(struct(bigint(0) as below, bigint(0) as most, bigint(0) as tie, bigint(0) as same))"))
     for turn in range(1 + FILLS):
         free = rows
         if turn:
             p = plan.select("_s", "left", "cuts")
-            free = rows.join(p, rows[source].eqNullSafe(p["_s"])).filter(~_taken(rank, size) & (F.col(size) <= F.col("left")))
+            free = rows.join(p, rows[source].eqNullSafe(p["_s"])).filter(~_taken(rank, size, tie) & (F.col(size) <= F.col("left"))).select(*rows.columns)
         cuts = thresholds(free.select(source, size, rank), plan.select(F.col("_s").alias(source), F.col("left").alias("budget")), source, size, rank)
-        cuts = cuts.select(F.col(source).alias("_c"), F.col("cut"), F.col("left").alias("_left"))
+        cuts = _split(free, cuts, source, size, rank, tie)
+        cuts = cuts.select(F.col(source).alias("_c"), F.col("cut"), F.col("left").alias("_left"), "_tie", "_same")
         most = F.col("left").cast("bigint") if turn else F.lit((1 << 63) - 1)
         plan = plan.join(cuts, F.col("_s").eqNullSafe(F.col("_c")))
-        plan = plan.withColumn("cuts", F.concat("cuts", F.array(F.struct(F.col("cut").alias("below"), most.alias("most"))))).withColumn("left", F.col("_left"))
-        plan = written(plan.drop("_c", "cut", "_left"), "plan")
+        plan = plan.withColumn("cuts", F.concat("cuts", F.array(F.struct(F.col("cut").alias("below"), most.alias("most"), F.col("_tie").alias("tie"), F.col("_same").alias("same"))))).withColumn("left", F.col("_left"))
+        plan = written(plan.drop("_c", "cut", "_left", "_tie", "_same"), "plan")
     return plan.withColumn("limit", F.lit(limit)).drop("left")
 
 
-def apply(rows: DataFrame, plan: DataFrame, source: str = "source", size: str = "size", rank: str = "rank") -> DataFrame:
+def _split(free: DataFrame, cuts: DataFrame, source: str, size: str, rank: str, tie: str | None) -> DataFrame:
+    """cuts with `_tie`, so that of the rows of rank `cut` those with a tie below it fit too, and `_same`, how many of that tie do."""
+    whole = cuts.withColumns({"_tie": F.lit(0).cast("bigint"), "_same": F.lit(0).cast("bigint")})
+    if tie is None:
+        return whole
+    c = cuts.select(F.col(source).alias("_g"), "cut")
+    at = free.join(c, free[source].eqNullSafe(c["_g"])).filter(F.col(rank) == F.col("cut")).select(source, size, tie)
+    if at.groupBy(source).count().filter("count > 1").isEmpty():
+        return whole
+    inner = thresholds(at, cuts.select(source, F.col("left").alias("budget")), source, size, tie)
+    inner = inner.select(F.col(source).alias("_h"), F.col("cut").alias("_tie"), F.col("left").alias("_rest"))
+    equal = at.join(inner, at[source].eqNullSafe(inner["_h"])).filter(F.col(tie) == F.col("_tie")).groupBy("_h").agg(F.max(size).alias("_size")).withColumnRenamed("_h", "_e")
+    inner = inner.join(equal, F.col("_h").eqNullSafe(F.col("_e")), "left")
+    inner = inner.withColumn("_same", F.when(F.col("_size") > 0, F.floor(F.col("_rest") / F.col("_size"))).otherwise(0).cast("bigint"))
+    out = cuts.drop("left").join(inner, F.col(source).eqNullSafe(F.col("_h")))
+    return out.select(source, "cut", (F.col("_rest") - F.col("_same") * F.coalesce("_size", F.lit(0))).alias("left"), "_tie", "_same")
+
+
+def apply(rows: DataFrame, plan: DataFrame, source: str = "source", size: str = "size", rank: str = "rank", tie: str | None = None) -> DataFrame:
     """rows with `source_size`, `target` and `copies`: how often the mix takes a row (0 to the limit)."""
-    out = rows.join(plan, rows[source].eqNullSafe(plan["_s"]))
-    once_more = F.when(_taken(rank, size) & (F.col("whole") < F.col("limit")), 1).otherwise(0)
-    return out.withColumn("copies", F.col("whole") + once_more).drop("_s", "whole", "limit", "cuts")
-
-
-def mix(rows: DataFrame, weights: Sequence[float] = (5, 2, 1), source: str = "source", size: str = "size", rank: str = "rank", limit: int = MAX_REPEAT) -> DataFrame:
+    out = rows.join(plan, rows[source].eqNullSafe(plan["_s"])).drop("_s")
+    more = lambda taken: F.col("whole") + F.when(taken & (F.col("whole") < F.col("limit")), 1).otherwise(0)
+    if tie is None or plan.filter(F.exists("cuts", lambda c: c["same"] > 0)).isEmpty():
+        return out.withColumn("copies", more(_taken(rank, size, tie))).drop("whole", "limit", "cuts")
+    # of equal rows any will do, so they are counted and written out again
+    share = F.filter("cuts", lambda c: (c["same"] > 0) & (F.col(rank) == c["below"]) & (F.col(tie) == c["tie"]) & (F.col(size) <= c["most"]))
+    out = out.withColumn("_same", F.get(share["same"], F.lit(0)))
+    rest = out.filter("_same is null").withColumn("copies", more(_taken(rank, size, tie))).drop("whole", "limit", "cuts", "_same")
+    part = out.filter("_same is not null").drop("cuts")
+    part = part.groupBy(*part.columns).agg(F.count("*").alias("_m"))
+    part = part.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_m") - 1) / CHUNK)))).repartition("_chunk")
+    last = F.least(F.col("_m"), (F.col("_chunk") + 1) * CHUNK) - 1
+    part = part.withColumn("_nth", F.explode(F.sequence(F.col("_chunk") * CHUNK, last)))
+    part = part.withColumn("copies", more(F.col("_nth") < F.col("_same")))
+    return rest.unionByName(part.select(*rest.columns))
+
+
+def mix(rows: DataFrame, weights: Sequence[float] = (5, 2, 1), source: str = "source", size: str = "size", rank: str = "rank", limit: int = MAX_REPEAT, tie: str | None = None) -> DataFrame:
     """rows with `source_size`, `target` and `copies`. Empty tables give empty results."""
-    return apply(rows, plan_of(rows, weights, source, size, rank, limit), source, size, rank)
+    return apply(rows, plan_of(rows, weights, source, size, rank, limit, tie), source, size, rank, tie)
 
 
-def _taken(rank: str, size: str) -> Column:
+def _taken(rank: str, size: str, tie: str | None = None) -> Column:
     """True for rows below a threshold: of the first pass, or of a fill that they were small enough for."""
-    return F.exists("cuts", lambda c: (F.col(rank) < c["below"]) & (F.col(size) <= c["most"]))
+    below = lambda c: F.col(rank) < c["below"] if tie is None else (F.col(rank) < c["below"]) | ((F.col(rank) == c["below"]) & (F.col(tie) < c["tie"]))
+    return F.exists("cuts", lambda c: below(c) & (F.col(size) <= c["most"]))
 
 
 def n_words(text: str = "text") -> Column:
@@ -131,12 +172,12 @@ def n_words(text: str = "text") -> Column:
 def mix_documents(docs: DataFrame, weights: Sequence[float] = (5, 2, 1)) -> DataFrame:
     """doc_id, size, source_size, target, taken of every document; texts are read once.
 
-    Null and empty texts have size 0 and taken 0. Null sources are one source, the last. Repeated
-    rows have one hash: they are taken or left together, and a null doc_id counts as empty text.
-    Texts count whole. An empty table gives no rows.
+    Null and empty texts have size 0 and taken 0. Null sources are one source, the last. Rows
+    of one doc_id have one hash: they are taken or left together, but where a budget ends among
+    them; a null doc_id counts as empty text. Texts count whole. An empty table gives no rows.
     """
-    rows = written(docs.select("doc_id", "source", n_words().alias("size"), row_hash("doc_id").alias("rank")), "sizes")
-    out = mix(rows, weights)
+    rows = written(docs.select("doc_id", "source", n_words().alias("size"), row_hash("doc_id").alias("rank"), tie_hash(*docs.columns).alias("tie")), "sizes")
+    out = mix(rows, weights, tie="tie")
     return out.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), (F.col("copies") * F.col("size")).alias("taken"))
 
 
@@ -148,8 +189,8 @@ def repeat_documents(docs: DataFrame, weights: Sequence[float] = (5, 2, 1)) -> D
     """
     names = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # names of docs may clash with the added ones
     own = docs.toDF(*names.values())
-    sized = own.withColumns({"size": n_words(names["text"]), "rank": row_hash(names["doc_id"])})
-    plan = plan_of(written(sized.select(names["source"], "size", "rank"), "sizes"), weights, names["source"])
-    out = apply(sized, plan, names["source"]).filter("copies > 0")
+    sized = own.withColumns({"size": n_words(names["text"]), "rank": row_hash(names["doc_id"]), "tie": tie_hash(*names.values())})
+    plan = plan_of(written(sized.select(names["source"], "size", "rank", "tie"), "sizes"), weights, names["source"], tie="tie")
+    out = apply(sized, plan, names["source"], tie="tie").filter("copies > 0")
     out = out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return out.select(*names.values()).toDF(*docs.columns)

@@ -82,3 +82,21 @@ def test_awkward_rows(spark):
     assert n.get(1, 0) == 2 * next(v for (d, _), v in taken.items() if d == 1)
     assert mixing.mix_documents(empty(spark)).count() == 0
     assert mixing.repeat_documents(empty(spark)).count() == 0
+
+
+def test_sources_of_null_or_repeated_ids_meet_their_targets(spark):
+    rows = [(None, prose(i, 20 + i % 30), "a") for i in range(200)]  # no ids, different texts
+    rows += [(None if i % 2 else 7, prose(1, 25), "b") for i in range(300)]  # copies of two rows
+    rows += [(i, prose(i, 30), "c") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(5)
+    words = lambda t: len(t.split())
+    size = {s: sum(words(t) for _, t, own in rows if own == s) for s in "abc"}
+    target = mixing.shares(size, (5, 2, 1))
+    got = mixing.mix_documents(docs).collect()
+    assert len(got) == len(rows) and all(r.taken % r["size"] == 0 and r.taken <= 3 * r["size"] for r in got)
+    out = mixing.repeat_documents(docs).collect()
+    for s in "abc":
+        own = sum(r.taken for r in got if r.source_size == size[s])
+        assert target[s] - 50 < own <= target[s]
+        assert own == sum(words(r.text) for r in out if r.source == s)
+    assert {target[s] % size[s] > 50 for s in "abc"} == {True}
