@@ -11,9 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; an own one only where that is unset (tests)."""
+    """The folder in spark.checkpoint.dir; an own one only where that is unset and the master is local (tests).
+
+    On a cluster executors do not see each other's folders, so there it must be set.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         own = tempfile.mkdtemp(prefix="tallyloom-")
         atexit.register(shutil.rmtree, own, ignore_errors=True)
         base = f"file://{own}"
@@ -30,4 +35,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables that written() gave and nothing reads any more; other DataFrames are left alone."""
+    for df in tables:
+        if path := getattr(df, "_scratch_path", None):
+            at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
