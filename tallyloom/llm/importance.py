@@ -16,49 +16,39 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyloom.llm import mixing
 from tallyloom.llm.scratch import written
-from tallyloom.llm.textblock import WORDPUNCT, Block, Tokens, append, blocks, freeing, mix, windows
+from tallyloom.llm.textblock import WORDPUNCT, Block, append, blocks, freeing, windows
 from tallyloom.shipping import ship
 
-#: Tokens of an n-gram, buckets of the models (a power of two), labelled target rows read at most.
-#: PRIOR * buckets counts of the raw model are added to the target's, so an n-gram the labelled rows lack costs little.
-ORDERS, BUCKET_BITS, TARGET, PRIOR = (1, 2, 3), 16, 20_000, 2.0
+#: Tokens of an n-gram, buckets of the models (a power of two), labelled target rows read at most, and how many
+#: n-grams of a bucket the target is taken to hold besides, in the raw model's proportion: what the labelled rows are
+#: too few to show counts as neutral.
+ORDERS, BUCKET_BITS, TARGET, PRIOR = (1, 2), 16, 20_000, 100.0
 #: k counts the documents whose log weight is at least -MARGIN; NOISE scales the Gumbel noise.
-MARGIN, NOISE, SEED = 2.0, 1.0, 17
+MARGIN, NOISE, SEED = 8.0, 1.0, 17
 #: Keys are compared on a grid of 2**-FINE, and beyond +-2**WIDE as equal.
 FINE, WIDE = 25, 19
 
 
-_UPPER = np.isin(np.arange(256), range(65, 91))
-_DIGIT = np.isin(np.arange(256), range(48, 58))
 _U = np.uint64
+#: Stands for a word that repeats the one before it.
+_AGAIN = 0x5BD1E995
 
 
-def shapes(block: Block) -> tuple[Tokens, np.ndarray]:
-    """The block's tokens and a hash of each one's shape.
+def grams(block: Block) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the block's n-grams, and their texts' numbers.
 
-    Punctuation stands for itself. A word's shape is its letter case, whether it has digits, its
-    length on a log scale and whether it repeats the word before. Words themselves would not do:
-    most are too rare for the target model to have met, whatever their quality.
+    Tokens are words as they are written and single punctuation marks. A word that repeats the one
+    before it makes one n-gram more, the same for all words.
     """
     t = block.tokens(WORDPUNCT)
-    n, doc = t.end - t.start, t.doc()
-    word = WORDPUNCT[block.u[t.start]] == 2 if len(n) else np.zeros(0, bool)
-    total = lambda mask: np.concatenate([[0], np.cumsum(mask[block.u])])
-    upper, digits = (c[t.end] - c[t.start] for c in (total(_UPPER), total(_DIGIT)))
-    kind = np.select([digits > 0, upper == 0, (upper == n) & (n > 1), upper == 1], [4, 1, 3, 2], 5)
-    h, at = t.hashes(lower=True), np.flatnonzero(word)
+    h, doc = t.hashes(), t.doc()
     again = np.zeros(len(h), bool)
-    again[at[1:]] = (h[at[1:]] == h[at[:-1]]) & (doc[at[1:]] == doc[at[:-1]])
-    size = np.minimum(np.log2(np.maximum(n, 1)).astype(np.int64), 5)
-    return t, np.where(word, mix((kind * 16 + size * 2 + again).astype(_U) + _U(1)), h)
-
-
-def grams(block: Block) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the block's n-grams of token shapes, and their texts' numbers."""
-    t, shape = shapes(block)
-    doc = t.doc()
-    found = [windows(t, shape, n) for n in ORDERS]
-    return np.concatenate([h >> _U(64 - BUCKET_BITS) for h, _ in found]).astype(np.int64), np.concatenate([doc[at] for _, at in found])
+    if len(h):
+        again[1:] = (h[1:] == h[:-1]) & (doc[1:] == doc[:-1]) & (WORDPUNCT[block.u[t.start[1:]]] == 2)
+    found = [windows(t, h, n) for n in ORDERS]
+    bucket = np.concatenate([v >> _U(64 - BUCKET_BITS) for v, _ in found]).astype(np.int64)
+    here = doc[again]
+    return np.concatenate([bucket, np.full(len(here), _AGAIN % (1 << BUCKET_BITS))]), np.concatenate([*(doc[at] for _, at in found), here])
 
 
 @freeing
@@ -80,7 +70,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "
     """Log ratio of target to raw probability by bucket.
 
     The raw model counts every document; the target model up to `most` documents labelled 1, by
-    hash of their key. Without any the ratio is 0 everywhere, and all documents are kept.
+    hash of their key. A bucket's ratio is that of the target's count to the one expected of raw
+    text, both with PRIOR added, so that it is near 0 where little is expected. Without labelled
+    documents it is 0 everywhere, and all documents are kept.
     """
     ship(docs.sparkSession)
     good = labels.filter(F.col(label) == 1).select(F.col(key).alias("k")).filter("k is not null").distinct().orderBy(F.xxhash64("k"), "k").limit(most)
@@ -92,8 +84,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "
     raw[at] += got.column("raw").to_numpy()
     target[at] += got.column("target").to_numpy()
     raw /= raw.sum()
-    prior = PRIOR * len(raw)
-    return np.log((target + prior * raw) / (target.sum() + prior)) - np.log(raw)
+    ratio = (target + PRIOR) / (target.sum() * raw + PRIOR)
+    return np.log(ratio / (raw * ratio).sum())
 
 
 def _weigh(ratio: np.ndarray, block: Block) -> list:
@@ -105,10 +97,10 @@ def _make(ratio: np.ndarray):
     return partial(_weigh, ratio)
 
 
-def _key(key: str) -> Column:
-    """The log weight plus Gumbel noise that depends on the row's key alone."""
+def _noise(key: str) -> Column:
+    """Gumbel noise that depends on the row's key alone."""
     u = (F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(SEED)), F.lit(1 << 40)) + 0.5) / float(1 << 40)
-    return F.col("log_weight") - NOISE * F.log(-F.log(u))
+    return -NOISE * F.log(-F.log(u))
 
 
 def _rank(value: Column) -> Column:
@@ -118,9 +110,9 @@ def _rank(value: Column) -> Column:
 
 
 def weighed(docs: DataFrame, ratio: np.ndarray, key: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The kept columns and log_weight, n_grams, gumbel_key, rank of every row."""
-    out = append(docs, text, partial(_make, ratio), [("log_weight", "double"), ("n_grams", "bigint")], keep)
-    return out.withColumn("gumbel_key", _key(key)).withColumn("rank", _rank(F.col("gumbel_key")))
+    """The kept columns and log_weight, n_grams, gumbel_key, rank of every row; a kept column of such a name gets `_` appended."""
+    out = append(docs.withColumn("_noise", _noise(key)), text, partial(_make, ratio), [("log_weight", "double"), ("n_grams", "bigint")], [*(docs.columns if keep is None else keep), "_noise"], ["gumbel_key", "rank"])
+    return out.withColumn("gumbel_key", F.col("log_weight") + F.col("_noise")).withColumn("rank", _rank(F.col("gumbel_key"))).drop("_noise")
 
 
 def cut(rows: DataFrame) -> int:
@@ -144,7 +136,12 @@ def select(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
 
 
 def keep_selected(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The selected rows of docs, with docs' columns. Texts are scored again, which costs less than carrying them."""
+    """The selected rows of docs, with docs' columns, whatever their names.
+
+    Texts are scored again, which costs less than carrying them. Null and empty texts weigh 0 and
+    rows without a key share their noise; repeated rows are selected together; an empty table
+    stays empty; very long texts count whole.
+    """
     ratio = fit(docs, labels, key=key, text=text)
     top = cut(written(weighed(docs, ratio, key, text, [key]), "weights"))
     extra = ["log_weight", "n_grams", "gumbel_key", "rank"]
