@@ -1,8 +1,10 @@
 """Toxicity: a linear classifier over character n-grams scaled by naive Bayes log-count ratios.
 
-Fitted on a bounded, hashed sample of labelled rows, in three passes over the sample on the
-executors: counts of n-gram buckets by label, counts of the n-grams of the telling buckets, and
-each text's telling n-grams. Scoring reads every text whole and shuffles nothing.
+Every n-gram counts, by a hash bucket: a text's features are the distinct buckets of its n-grams,
+each scaled by its log-count ratio times that ratio's size, and brought to unit length. The ratios
+are drawn to 0 where a bucket was seen in few texts. Fitted on a bounded, hashed sample of labelled
+rows, whose features are computed on the executors and weighed on the driver. Scoring reads every
+text whole and shuffles nothing.
 """
 
 from __future__ import annotations
@@ -12,182 +14,153 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallyloom.llm.scratch import written
 from tallyloom.llm.textblock import Block, append, blocks, freeing, sums
 from tallyloom.shipping import ship
 
-#: Characters of an n-gram; labelled rows of each class that are fitted on at most; n-grams kept.
-ORDERS, SAMPLE, FEATURES = (4, 6, 8), 3000, 8192
-#: Buckets of the first count (a power of two) and of the scoring filter; how many buckets are looked into; add-one count.
-BUCKET_BITS, FILTER_BITS, TELLING, ALPHA = 21, 22, 65536, 1.0
-#: Bytes of a block where all n-grams are sorted, and tasks that read the sample.
-FINE, TASKS = 1 << 19, 3
+#: Characters of an n-gram; labelled rows of each class that are fitted on at most, and the bytes of their texts.
+ORDERS, SAMPLE, SAMPLE_BYTES = (4, 6, 8), 2000, 1 << 23
+#: Buckets of each order (a power of two); texts of chance that a bucket's counts are mixed with; steps, step size and ridge of the fit.
+BUCKET_BITS, PRIOR, STEPS, RATE, RIDGE = 20, 150.0, 50, 0.2, 1e-5
+#: Share of a class in the fit that does not depend on its number of rows; features of a chunk of rows.
+BALANCE, CHUNK = 0.2, 1 << 21
 _LEAD = (np.arange(256) & 0xC0) != 0x80
 _U = np.uint64
 
 
 def grams(block: Block) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each order: hashes of the block's character n-grams (A-Z as a-z) and their texts' numbers."""
+    """For each order: buckets of the block's character n-grams (A-Z as a-z) in text order, and where each text's begin."""
     lead = np.flatnonzero(_LEAD[block.u])
     doc = np.searchsorted(block.off, lead, "right") - 1
     ends = np.append(lead, len(block.u))
     for n in ORDERS:
         if len(lead) >= n:
-            same = doc[: len(lead) - n + 1] == doc[n - 1 :]
-            at = np.flatnonzero(same)
-            yield block.hashes(lead[at], ends[at + n], lower=True), doc[at]
-
-
-def present(block: Block, wanted=None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (text, hash) pairs of the block, of the hashes that wanted() lets through."""
-    docs, hashes = [np.zeros(0, np.int64)], [np.zeros(0, _U)]
-    for h, doc in grams(block):
-        if wanted is not None:
-            keep = wanted(h)
-            h, doc = h[keep], doc[keep]
-        hashes.append(h)
-        docs.append(doc)
-    h, doc = np.concatenate(hashes), np.concatenate(docs)
-    key = h + doc.astype(_U) * _U(0xD1B54A32D192ED03)
-    order = np.argsort(key)
-    first = np.ones(len(h), bool)
-    first[1:] = key[order][1:] != key[order][:-1]
-    order = np.sort(order[first])
-    h, doc = h[order], doc[order]
-    order = np.argsort(doc.astype(np.uint16) if block.n < 1 << 16 else doc, kind="stable")
-    return doc[order], h[order]
-
-
-def _labelled(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, Block]]:
-    for b in batches:
-        y = b.column(1).to_numpy(zero_copy_only=False)
-        for lo, hi, block in blocks(b.column(0), FINE):
-            yield y[lo:hi], block
+            at = np.flatnonzero(doc[: len(lead) - n + 1] == doc[n - 1 :])
+            h = block.hashes(lead[at], ends[at + n], lower=True)
+            yield (h >> _U(64 - BUCKET_BITS)).astype(np.int32), np.searchsorted(doc[at], np.arange(block.n + 1))
 
 
-@freeing
-def _bucket_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros((2, 1 << BUCKET_BITS), np.int64)
-    for y, block in _labelled(batches):
-        doc, h = present(block)
-        bucket = (h >> _U(64 - BUCKET_BITS)).astype(np.int64)
-        for label in (0, 1):
-            total[label] += np.bincount(bucket[y[doc] == label], minlength=1 << BUCKET_BITS)
-    at = np.flatnonzero(total.any(0))
-    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[0, at]), pa.array(total[1, at])], names=["gram", "n0", "n1"])
+class Distinct:
+    """Finds the distinct buckets of each text: the last place of each one in a table of all buckets."""
 
+    def __init__(self):
+        self.last = np.zeros(1 << BUCKET_BITS, np.int32)
 
-@freeing
-def _gram_counts(batches: Iterable[pa.RecordBatch], telling: np.ndarray) -> Iterator[pa.RecordBatch]:
-    ok = np.zeros(1 << BUCKET_BITS, bool)
-    ok[telling] = True
-    for y, block in _labelled(batches):
-        doc, h = present(block, lambda h: ok[(h >> _U(64 - BUCKET_BITS)).astype(np.int64)])
-        uniq, back = np.unique(h, return_inverse=True)
-        n = [np.bincount(back, y[doc] == label, len(uniq)).astype(np.int64) for label in (0, 1)]
-        yield pa.RecordBatch.from_arrays([pa.array(uniq.view(np.int64)), pa.array(n[0]), pa.array(n[1])], names=["gram", "n0", "n1"])
+    def __call__(self, bucket: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """True where no later place of the same text has the bucket."""
+        out = np.empty(len(bucket), bool)
+        nth = np.arange(int(np.diff(first).max(initial=0)), dtype=np.int32)
+        for i, j in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+            b, own = bucket[i:j], nth[: j - i]
+            self.last[b] = own
+            out[i:j] = self.last[b] == own
+        return out
 
 
 @freeing
-def _texts(batches: Iterable[pa.RecordBatch], keys: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for y, block in _labelled(batches):
-        doc, h = present(block, partial(_among, keys=keys))
-        first = np.searchsorted(doc, np.arange(block.n + 1))
-        rows = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(np.searchsorted(keys, h).astype(np.int32)))
-        yield pa.RecordBatch.from_arrays([pa.array(y.astype(np.int32)), rows], names=["label", "grams"])
-
-
-def _among(h: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    at = np.searchsorted(keys, h)
-    at[at == len(keys)] = 0
-    return keys[at] == h if len(keys) else np.zeros(len(h), bool)
-
-
-def _telling(counts: DataFrame, totals: tuple[int, int], most: int) -> pa.Table:
-    """The n-grams or buckets whose class counts are farthest from chance, in standard errors."""
-    n0, n1 = totals
-    share = n1 / max(1, n0 + n1)
-    n = F.col("n0") + F.col("n1")
-    z = F.abs(F.col("n1") - n * share) / F.sqrt(n * share * (1 - share) + 1)
-    by = counts.groupBy("gram").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    return by.withColumn("z", F.round(z, 6)).filter(n >= 4).orderBy(F.desc("z"), "gram").limit(most).toArrow()
+def _features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    distinct = Distinct()
+    for b in batches:
+        for lo, hi, block in blocks(b.column(0)):
+            rows = [[] for _ in range(block.n)]
+            for bucket, first in grams(block):
+                keep = distinct(bucket, first)
+                for i in range(block.n):
+                    at = slice(first[i], first[i + 1])
+                    rows[i].append(np.sort(bucket[at][keep[at]]).astype("<i4").tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(1).slice(lo, hi - lo), pa.array([b"".join(r) for r in rows], pa.binary())], names=["y", "buckets"])
 
 
 class Model:
-    """Sorted n-gram hashes, a weight for each, an intercept."""
+    """A weight and a squared scale for every bucket, an intercept."""
 
-    def __init__(self, keys: np.ndarray, weights: np.ndarray, intercept: float):
-        self.keys, self.weights, self.intercept = keys, weights, intercept
+    def __init__(self, weights: np.ndarray, square: np.ndarray, intercept: float):
+        self.weights, self.square, self.intercept = weights.astype(np.float32), square.astype(np.float32), intercept
+
+    @classmethod
+    def constant(cls, intercept: float) -> Model:
+        return cls(np.zeros(1 << BUCKET_BITS), np.zeros(1 << BUCKET_BITS), intercept)
 
     def scorer(self):
         """A function from a block to its texts' scores."""
-        may = np.zeros(1 << FILTER_BITS, bool)
-        may[(self.keys >> _U(64 - FILTER_BITS)).astype(np.int64)] = True
-
-        def wanted(h: np.ndarray) -> np.ndarray:
-            keep = may[(h >> _U(64 - FILTER_BITS)).astype(np.int64)]
-            at = np.flatnonzero(keep)
-            keep[at] = _among(h[at], self.keys)
-            return keep
+        distinct = Distinct()
 
         def work(block: Block) -> list:
-            doc, h = present(block, wanted)
-            z = sums(self.weights[np.searchsorted(self.keys, h)], np.searchsorted(doc, np.arange(block.n + 1))) if len(self.keys) else np.zeros(block.n)
+            z, length = np.zeros(block.n), np.zeros(block.n)
+            for bucket, first in grams(block):
+                keep = distinct(bucket, first)
+                z += sums(np.where(keep, self.weights[bucket], 0).astype(np.float64), first)
+                length += sums(np.where(keep, self.square[bucket], 0).astype(np.float64), first)
+            z = np.divide(z, np.sqrt(length), out=np.zeros(block.n), where=length > 1e-9)
             return [1 / (1 + np.exp(-np.clip(z + self.intercept, -60, 60)))]
 
         return work
 
 
-def _logistic(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray, scale: np.ndarray, steps: int = 400, ridge: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Weights over binary features times `scale`, and the intercept, by full-batch Adam."""
-    first = np.cumsum([0, *map(len, rows)], dtype=np.int64)
-    col = np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64)
-    of = np.repeat(np.arange(len(rows)), np.diff(first))
-    w, b = np.zeros(len(scale)), float(np.log((weight[y == 1].sum() + 1) / (weight[y == 0].sum() + 1)))
+def scales(n0: np.ndarray, n1: np.ndarray, texts0: int, texts1: int) -> np.ndarray:
+    """Log-count ratios times their sizes. PRIOR texts, in the sample's shares of the classes, are added to each bucket's counts."""
+    p0, p1 = (PRIOR * t / max(1, texts0 + texts1) for t in (texts0, texts1))
+    r = np.log((n1 + p1) / (texts1 + p1) / ((n0 + p0) / (texts0 + p0)))
+    return r * np.abs(r)
+
+
+def logistic(col: np.ndarray, first: np.ndarray, y: np.ndarray, scale: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights over the scaled features of unit length, and the intercept, by full-batch Adam. Rows are col[first[i]:first[i + 1]], none empty."""
+    n, size = len(y), np.diff(first)
+    cut = np.unique(np.searchsorted(first, np.arange(0, first[-1], CHUNK), "left").clip(0, n - 1))
+    parts = list(zip(cut.tolist(), [*cut[1:].tolist(), n], strict=True))
+    scale = scale.astype(np.float32)
+    value = scale[col]
+    length = np.sqrt(np.add.reduceat(value * value, first[:-1])).clip(1e-6)
+    for i, j in parts:
+        value[first[i] : first[j]] /= np.repeat(length[i:j], size[i:j])
+    share = BALANCE * n / 2 / np.where(y == 1, (y == 1).sum(), (y == 0).sum()) + 1 - BALANCE
+    share /= share.sum()
+    w, b = np.zeros(len(scale)), float(np.log(share[y == 1].sum() / share[y == 0].sum()))
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
-    weight = weight / weight.sum()
-    for t in range(1, steps + 1):
-        p = 1 / (1 + np.exp(-np.clip(sums((w * scale)[col], first) + b, -60, 60)))
-        err = weight * (p - y)
-        g = np.append(np.bincount(col, err[of], len(w)) * scale + ridge * w, err.sum())
+    for t in range(1, STEPS + 1):
+        g, total, now = RIDGE * w, 0.0, w.astype(np.float32)
+        for i, j in parts:
+            at = slice(first[i], first[j])
+            z = np.add.reduceat(now[col[at]] * value[at], first[i:j] - first[i]) + b
+            err = share[i:j] * (1 / (1 + np.exp(-np.clip(z, -60, 60))) - y[i:j])
+            g += np.bincount(col[at], np.repeat(err, size[i:j]) * value[at], len(w))
+            total += err.sum()
+        g = np.append(g, total)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        step = 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+        step = RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
         w, b = w - step[:-1], b - step[-1]
     return w * scale, float(b)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id", text: str = "text", sample: int = SAMPLE, features: int = FEATURES) -> Model:
-    """Fit on up to `sample` rows of each class, by hash of their key.
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id", text: str = "text", sample: int = SAMPLE, most: int = SAMPLE_BYTES) -> Model:
+    """Fit on up to `sample` rows of each class, by hash of their key, and of these on the first whose texts have `most` bytes together.
 
     labels: key and 0/1; other values and nulls are left out, and a key with both counts as 1.
     Without rows of both classes the model is the constant share of label 1.
     """
-    spark = docs.sparkSession
-    ship(spark)
+    ship(docs.sparkSession)
     known = labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("y")).filter("k is not null and y in (0, 1)").groupBy("k").agg(F.max("y").alias("y"))
     n = {r.y: r["count"] for r in known.groupBy("y").count().collect()}
-    if len(n) < 2:
-        return Model(np.zeros(0, _U), np.zeros(0), float(np.log((n.get(1, 0) + 1) / (n.get(0, 0) + 1))))
     pick = [known.filter(F.col("y") == y).orderBy(F.xxhash64("k"), "k").limit(sample) for y in (0, 1)]
-    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(pick[0].unionByName(pick[1])), "k").select("t", "y")
-    rows = written(rows, "toxic-sample").coalesce(TASKS)
-    buckets = rows.mapInArrow(_bucket_counts, "gram bigint, n0 bigint, n1 bigint")
-    totals = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
-    totals = totals.get(0, 0), totals.get(1, 0)
-    telling = _telling(buckets, totals, TELLING).column("gram").to_numpy()
-    found = _telling(rows.mapInArrow(partial(_gram_counts, telling=telling), "gram bigint, n0 bigint, n1 bigint"), totals, features)
-    keys = found.column("gram").to_numpy().view(_U)
-    order = np.argsort(keys)
-    keys, n0, n1 = keys[order], *(found.column(f"n{y}").to_numpy()[order] + ALPHA for y in (0, 1))
-    ratio = np.log((n1 / (totals[1] + 2 * ALPHA)) / (n0 / (totals[0] + 2 * ALPHA)))
-    texts = rows.mapInArrow(partial(_texts, keys=keys), "label int, grams array<int>").collect()
-    texts.sort(key=lambda r: (r.label, r.grams))
-    y = np.array([r.label for r in texts], float)
-    weight = np.where(y == 1, n[1] / max(1, totals[1]), n[0] / max(1, totals[0]))
-    weights, intercept = _logistic([np.array(r.grams, np.int64) for r in texts], y, weight, ratio)
-    return Model(keys, weights, intercept)
+    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(pick[0].unionByName(pick[1])), "k")
+    order = Window.partitionBy("y").orderBy(F.xxhash64("k"), "k", F.xxhash64("t"))  # of a class, at most `sample` keys
+    size = F.sum(F.octet_length(F.coalesce("t", F.lit("")))).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("upto", size).filter(F.col("upto") <= most).select("t", "y")
+    got = rows.mapInArrow(_features, "y int, buckets binary").toArrow()
+    found = sorted((y, x) for y, x in zip(got.column("y").to_pylist(), got.column("buckets").to_pylist(), strict=True) if x)
+    y = np.array([v for v, _ in found], float)
+    if len(set(y.tolist())) < 2:
+        return Model.constant(float(np.log((n.get(1, 0) + 1) / (n.get(0, 0) + 1))))
+    first = np.cumsum([0, *(len(x) // 4 for _, x in found)])
+    col = np.frombuffer(b"".join(x for _, x in found), "<i4")
+    del got, found
+    ones = int(first[np.searchsorted(y, 1)])
+    n0, n1 = (np.bincount(c, minlength=1 << BUCKET_BITS) for c in (col[:ones], col[ones:]))
+    scale = scales(n0, n1, int((y == 0).sum()), int((y == 1).sum()))
+    weights, intercept = logistic(col, first, y, scale)
+    return Model(weights, scale**2, intercept)
 
 
 def _make(model: Model):
@@ -198,7 +171,8 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
     """The kept columns and `score` (0 to 1) of every row.
 
     Null, empty and very short texts, which have no n-grams, get the intercept's score. Repeated
-    rows and equal texts score alike. Texts count whole. An empty table gives no rows.
+    rows and equal texts score alike. Texts count whole. An empty table gives no rows. A kept
+    column called score stays as `score_`.
     """
     return append(docs, text, partial(_make, model), [("score", "double")], keep)
 
