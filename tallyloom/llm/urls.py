@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 from functools import partial
@@ -23,8 +24,8 @@ RULES = (
     ("block", "example.net", "/de/8"),
     ("block", "org", "/es/"),
 )
-#: Labelled URLs that the trees are fitted on at most (a hash sample), and pseudo-counts of a suffix.
-SAMPLE, PRIOR = 20_000, 10
+#: Distinct labelled URLs of each verdict that the trees are fitted on, about (a hash sample), pseudo-counts of a suffix, folds of its rates.
+SAMPLE, PRIOR, FOLDS = 10_000, 10, 5
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -67,25 +68,47 @@ def lexical(url: str | None, suffix: dict[str, float], prior: float) -> list[flo
     ]
 
 
+def suffixes(url: str | None) -> set[str]:
+    """The last label of the host, and the last two."""
+    labels = (url or "").partition("://")[2].split("/")[0].split("?")[0].split("#")[0].lower().split(".")
+    return {labels[-1], ".".join(labels[-2:])}
+
+
 class UrlModel:
-    """Trees fitted on labelled URLs: 1 is block."""
+    """Trees fitted on labelled URLs: 1 is block.
+
+    The rates of suffixes that a URL is fitted with come from the other folds' URLs, so its own
+    label is not among its features.
+    """
 
     def __init__(self, urls: list[str | None], y: np.ndarray):
+        fold = np.array([zlib.crc32((u or "").encode()) % FOLDS for u in urls], np.int64)
+        x = np.zeros((len(urls), 12))
+        for f in range(FOLDS):
+            at = np.flatnonzero(fold == f)
+            if len(at):
+                others = np.flatnonzero(fold != f).tolist()
+                x[at] = self.features([urls[i] for i in at.tolist()], *self.rates([urls[i] for i in others], y[others]))
+        self.suffix, self.prior = self.rates(urls, y)
+        self.trees = Boosted().fit(x, y)
+
+    @staticmethod
+    def rates(urls: list[str | None], y: np.ndarray) -> tuple[dict[str, float], float]:
+        """The share of blocked URLs by suffix, drawn to the share of all, and that."""
         seen, bad = Counter(), Counter()
         for url, v in zip(urls, y.tolist(), strict=True):
-            labels = (url or "").partition("://")[2].split("/")[0].split("?")[0].split("#")[0].lower().split(".")
-            for s in {labels[-1], ".".join(labels[-2:])}:
+            for s in suffixes(url):
                 seen[s] += 1
                 bad[s] += v
-        self.prior = float((y.sum() + 1) / (len(y) + 2))
-        self.suffix = {s: (bad[s] + PRIOR * self.prior) / (n + PRIOR) for s, n in seen.items()}
-        self.trees = Boosted().fit(self.features(urls), y)
+        prior = float((y.sum() + 1) / (len(y) + 2))
+        return {s: (bad[s] + PRIOR * prior) / (n + PRIOR) for s, n in seen.items()}, prior
 
-    def features(self, urls: list[str | None]) -> np.ndarray:
-        return np.array([lexical(u, self.suffix, self.prior) for u in urls], float).reshape(len(urls), 12)
+    @staticmethod
+    def features(urls: list[str | None], suffix: dict[str, float], prior: float) -> np.ndarray:
+        return np.array([lexical(u, suffix, prior) for u in urls], float).reshape(len(urls), 12)
 
     def score(self, urls: list[str | None]) -> np.ndarray:
-        return self.trees.score(self.features(urls))
+        return self.trees.score(self.features(urls, self.suffix, self.prior))
 
 
 @freeing
@@ -94,20 +117,32 @@ def _scored(batches: Iterable[pa.RecordBatch], model: UrlModel) -> Iterator[pa.R
         yield pa.RecordBatch.from_arrays([*b.columns, pa.array(model.score(b.column("url").to_pylist()), pa.float64())], names=[*b.schema.names, "score"])
 
 
+def labelled(rows: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
+    """About `sample` distinct URLs of each verdict of the rules, in order, and whether each is blocked."""
+    known = rows.select("url", rule_of(host_of(F.col("url")), path_of(F.col("url")), rules)[1].alias("v")).filter("v is not null")
+    share = {r.v: min(1.0, sample / r.n) for r in known.groupBy("v").agg(F.approx_count_distinct("url").alias("n")).collect() if r.n}
+    place = F.shiftrightunsigned(F.xxhash64("url"), 11) / float(1 << 53)
+    wanted = F.lit(False)
+    for v, s in sorted(share.items()):
+        wanted = wanted | ((F.col("v") == v) & (place < s))
+    found = sorted((r.url, r.v == "block") for r in known.filter(wanted).distinct().collect())
+    return [u for u, _ in found], np.array([float(b) for _, b in found])
+
+
 def judge(pages: DataFrame, key: str = "page_id", url: str = "url", rules: Sequence[tuple[str, str, str]] = RULES, sample: int = SAMPLE) -> DataFrame:
     """key, host, path, rule, score and verdict (allow or block) of every row.
 
-    The rules' own verdicts are the labelled URLs; up to `sample` of them, chosen by hash, fit the
-    trees on the driver. A row that no rule fits is blocked if its score is 0.5 or more. Without
-    labelled URLs, or with one class only, the score is the constant share of blocked ones. Null
-    URLs have empty host and path; repeated rows are judged alike; an empty table gives no rows.
+    The rules' own verdicts are the labelled URLs; about `sample` distinct ones of each verdict,
+    those with a hash below a threshold, fit the trees on the driver. A row that no rule fits is
+    blocked if its score is 0.5 or more. Without labelled URLs, or with one class only, the score is
+    the constant share of blocked ones. Null URLs have empty host and path; repeated rows are judged
+    alike; very long URLs count whole; no other column of pages is kept, so none clashes; an empty
+    table gives no rows.
     """
     spark = pages.sparkSession
     ship(spark)
     rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"))
-    rule, verdict = rule_of(host_of(F.col("url")), path_of(F.col("url")), rules)
-    known = rows.select("url", verdict.alias("v")).filter("v is not null").orderBy(F.xxhash64("url"), "url").limit(sample).collect()
-    model = UrlModel([r.url for r in known], np.array([float(r.v == "block") for r in known]))
+    model = UrlModel(*labelled(rows, rules, sample))
     kind = pages.schema[key].dataType.simpleString()
     out = rows.mapInArrow(partial(_scored, model=model), f"key {kind}, url string, score double")
     host, path = host_of(F.col("url")), path_of(F.col("url"))
