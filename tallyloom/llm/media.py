@@ -26,6 +26,8 @@ from tallyloom.llm.textblock import freeing
 from tallyloom.shipping import ship
 
 WIDTH, LEVEL = 192, 4
+#: A payload of more than one in HOT rows is common.
+HOT = 4096
 #: Bytes of a stored payload up to the end of its size fields.
 HEADER = 24
 _SIGNATURE = b"\x89PNG\r\n\x1a\n"
@@ -135,14 +137,38 @@ def store(docs: DataFrame, folder: str, key: str = "doc_id", text: str = "text")
 
     A task writes each distinct payload once. Tasks name shards by attempt, so a repeated task
     never writes to a file that rows already point to. Of a payload in several shards, every row
-    points to one (the first by shard name). Null counts as empty text.
+    points to one (the first by shard name). Null counts as empty text; an empty table writes none.
     """
+    rows = _stored(docs, folder, key, text)
+    return _with(rows, _places(rows)).select(F.col("key").alias(key), "n_bytes", "digest", "shard", "offset", "length")
+
+
+def _stored(docs: DataFrame, folder: str, key: str, text: str) -> DataFrame:
     ship(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(partial(_store, folder=folder), f"key {kind}, {INDEX}")
-    rows = written(rows, "index")
-    one = rows.groupBy("digest").agg(F.min(F.struct("shard", "offset", "length")).alias("at"))
-    return rows.select("key", "n_bytes", "digest").join(one, "digest").select(F.col("key").alias(key), "n_bytes", "digest", "at.shard", "at.offset", "at.length")
+    return written(rows, "index")
+
+
+def _places(rows: DataFrame) -> DataFrame:
+    """digest, shard, offset, length and rows of each payload, at the first shard that has it."""
+    one = rows.groupBy("digest").agg(F.min(F.struct("shard", "offset", "length")).alias("at"), F.count("*").alias("rows"))
+    return written(one.select("digest", "at.*", "rows"), "places")
+
+
+def _with(rows: DataFrame, facts: DataFrame) -> DataFrame:
+    """key, n_bytes and the facts by digest of every row.
+
+    Payloads of more than one in HOT rows, HOT at most, are joined by broadcast: no task gets all
+    rows of a common payload.
+    """
+    total = rows.count()
+    hot = F.col("rows") * HOT > total
+    own = rows.select("key", "n_bytes", F.col("digest").alias("_d"))
+    often = F.broadcast(facts.filter(hot))
+    names = F.broadcast(facts.filter(hot).select("digest"))
+    few = own.join(names, own["_d"] == names["digest"], "left_anti").join(facts.filter(~hot).hint("merge"), F.col("_d") == F.col("digest"))
+    return own.join(often, F.col("_d") == F.col("digest")).unionByName(few).drop("_d", "rows")
 
 
 @freeing
@@ -157,15 +183,15 @@ def _ranges(batches: Iterable[pa.RecordBatch], folder: str, whole: bool) -> Iter
                     if f is not None:
                         f.close()
                     name, f = shard, files.open_input_file(f"{path}/{shard}")
+                row = size(f.read_at(min(HEADER, length), offset))  # the header alone
                 if whole:
                     stored = f.read_at(length, offset)
                     data = decode(stored)
-                    rows.append((len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-16:]), hashlib.sha256(stored).hexdigest(), feature(data)))
-                else:
-                    rows.append(size(f.read_at(min(HEADER, length), offset)))
-            kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string()) if whole else (pa.int64(), pa.int64())
+                    row += len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-16:]), hashlib.sha256(stored).hexdigest(), feature(data)
+                rows.append(row)
+            names = (*META, *WHOLE) if whole else META
+            kinds = [pa.string() if x.endswith(" string") else pa.int64() for x in names]
             cols = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
-            names = WHOLE if whole else META
             yield pa.RecordBatch.from_arrays([part.column("digest"), *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))], names=["digest", *(x.split()[0] for x in names)])
 
 
@@ -174,24 +200,27 @@ META = ("width bigint", "height bigint")
 
 
 def read(index: DataFrame, folder: str, whole: bool = False) -> DataFrame:
-    """Per distinct digest: width and height from its header alone, or with whole=True what its bytes give.
+    """Per distinct digest: width and height from its header alone; with whole=True also what its bytes give.
 
     Each stored payload is read once, shard by shard in offset order.
     """
     ship(index.sparkSession)
     one = index.groupBy("digest").agg(F.min(F.struct("shard", "offset", "length")).alias("at")).select("digest", "at.*")
     one = one.repartition("shard").sortWithinPartitions("shard", "offset")
-    return one.mapInArrow(partial(_ranges, folder=folder, whole=whole), f"digest string, {', '.join(WHOLE if whole else META)}")
+    return one.mapInArrow(partial(_ranges, folder=folder, whole=whole), f"digest string, {', '.join((*META, *WHOLE) if whole else META)}")
 
 
 def media_columns(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_bytes, digest, shard, offset, length; width and height (header reads); WHOLE (read back).
 
     Null and empty texts are one row of spaces; repeated rows share their payload; an empty table
-    gives no rows. Fails if stored bytes do not have the digest that addresses them.
+    gives no rows. Very long texts are one payload each, whole. No other column of docs is kept, so
+    none clashes. Fails if stored bytes do not have the digest that addresses them.
     """
     folder = fresh_path(docs.sparkSession, "media")
-    index = written(store(docs, folder, key, text), "catalog")
-    got = read(index, folder, whole=True).join(read(index, folder), "digest")
+    rows = _stored(docs, folder, key, text)
+    places = _places(rows)
+    got = read(places, folder, whole=True)
     got = got.withColumn("read_sha256", F.when(F.col("read_sha256") == F.col("digest"), F.col("digest")).otherwise(F.raise_error(F.lit("stored bytes do not match their digest"))))
-    return index.join(got, "digest")
+    facts = written(places.join(got, "digest"), "facts")
+    return _with(rows, facts).withColumnRenamed("key", key)
