@@ -8,13 +8,13 @@ BLOCK_BYTES, or one text where that is longer, so memory follows the longest tex
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import partial, wraps
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tallyloom.shipping import ship
@@ -187,14 +187,31 @@ def _appended(batches: Iterable[pa.RecordBatch], make, text: str, keep: list[str
             yield pa.RecordBatch.from_arrays([*own, *(v if isinstance(v, pa.Array) else pa.array(v, t) for v, (_, t) in zip(got, fields, strict=True))], names=[*keep, *(f for f, _ in fields)])
 
 
-def append(df: DataFrame, text: str, make: Callable[[], Callable[[Block], list]], fields: list[tuple[str, str]], keep: list[str] | None = None) -> DataFrame:
+def freed(names: Sequence[str], taken: Iterable[str]) -> list[str]:
+    """The names, those among `taken` (whatever their case) with `_` appended until none clashes."""
+    used, out = {t.lower() for t in taken} | {n.lower() for n in names}, []
+    own = {t.lower() for t in taken}
+    for n in names:
+        if n.lower() in own:
+            while n.lower() in used:
+                n += "_"
+            used.add(n.lower())
+        out.append(n)
+    return out
+
+
+def append(df: DataFrame, text: str, make: Callable[[], Callable[[Block], list]], fields: list[tuple[str, str]], keep: list[str] | None = None, also: Sequence[str] = ()) -> DataFrame:
     """Add columns computed from the text column, block by block, without a shuffle.
 
     make() runs once per task and returns a function from a Block to one value list per field.
-    keep: the columns of df that stay (all by default). The new names must not be among them.
+    keep: the columns of df that stay (all by default). One of them that has the name of a new
+    column, or of one in `also` that the caller is to add, stays under that name with `_` appended.
     """
     ship(df.sparkSession)
     keep = list(df.columns if keep is None else keep)
-    src = df.select(*dict.fromkeys([*keep, text]))
-    schema = T.StructType([src.schema[k] for k in keep] + [T.StructField(f, T._parse_datatype_string(t)) for f, t in fields])
-    return src.mapInArrow(partial(_appended, make=make, text=text, keep=keep, fields=[(f, arrow_type(t)) for f, t in fields]), schema)
+    src = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate([*keep, text])])
+    new = [f for f, _ in fields]
+    names, at = [f"c{i}" for i in range(len(keep))], f"c{len(keep)}"
+    schema = T.StructType([src.schema[k] for k in names] + [T.StructField(f, T._parse_datatype_string(t)) for f, t in fields])
+    out = src.mapInArrow(partial(_appended, make=make, text=at, keep=names, fields=[(f, arrow_type(t)) for f, t in fields]), schema)
+    return out.toDF(*freed(keep, [*new, *also]), *new)
