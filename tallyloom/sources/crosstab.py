@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 SCHEMA = "table_no int, question_label string, banner_group string, banner_col string, row_label string, value double, is_pct boolean"
 
+#: A line up to a break outside quotes, and a cell with the comma before it. Quantifiers are possessive: one pass, no recursion.
+_LINE = r'(?:[^"\r\n]++|"(?:[^"]++|"")*+"?+)++'
+_CELL = r',(?:"(?:[^"]++|"")*+"?+)?+[^,]*+'
+
 
 def sessionize(df: DataFrame, starts, order: list, by: list = ()) -> DataFrame:
     """block_no: how many rows up to this one start a block, per `by`."""
@@ -13,30 +17,40 @@ def sessionize(df: DataFrame, starts, order: list, by: list = ()) -> DataFrame:
     return df.withColumn("block_no", F.sum(starts.cast("bigint")).over(upto))
 
 
+def logical_lines(text: Column) -> Column:
+    """The lines of a report; a break inside quotes ends none. Empty lines are left out."""
+    return F.regexp_extract_all(text, F.lit(_LINE), F.lit(0))
+
+
+def cells_of(line: Column) -> Column:
+    """All cells of a line, however many, without their quotes; an empty cell is null."""
+    raw = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_CELL), F.lit(0))
+    bare = lambda c: F.when(c.startswith('"'), F.replace(F.regexp_replace(c, r'^"|"(?=[^"]*$)', ""), F.lit('""'), F.lit('"'))).otherwise(c)
+    return F.transform(raw, lambda c: F.nullif(bare(F.substring(c, 2, 1 << 30)), F.lit("")))
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     """Tidy rows of the report files at path.
 
     A block is a `Table N` line, a line with the question's label, a line of banner groups, a line
-    of banner columns and value lines: a row label, then a value per column. A group's name stands
-    over its first column. `12.3%` is a percentage. Blank and `#page` lines are skipped. Files are
-    small reports; each is read whole by one task, files in parallel.
+    of banner columns and value lines: a row label, then a value per column, of any number. A
+    group's name stands over its first column. `12.3%` is a percentage. Blank and `#page` lines are
+    skipped; line breaks and commas inside quotes belong to their cell. Files are small reports;
+    each is read whole by one task, files in parallel.
     """
     files = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), "value")
-    lines = files.select("file", F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "line"))
-    lines = lines.filter((F.trim("line") != "") & ~F.col("line").startswith("#page"))
+    lines = files.select("file", F.posexplode(logical_lines(F.col("value"))).alias("line_no", "line"))
+    lines = lines.filter((F.trim("line") != "") & ~F.col("line").startswith("#page")).withColumn("cells", cells_of(F.col("line")))
     blocks = sessionize(lines, F.col("line").rlike(r"^Table \d+"), ["line_no"], ["file"]).filter("block_no > 0")
     nth = F.row_number().over(Window.partitionBy("file", "block_no").orderBy("line_no"))
-    cells = F.from_csv("line", F.lit(", ".join(f"c{i} string" for i in range(256))), {"quote": '"', "escape": '"'})
-    cells = F.array(*[cells[f"c{i}"] for i in range(256)])
-    width = F.size(F.split("line", r',(?=(?:[^"]*"[^"]*")*[^"]*$)'))
-    rows = blocks.withColumn("nth", nth).withColumn("cells", F.slice(cells, F.lit(1), F.least(width, F.lit(256))))
-    head = rows.groupBy("file", "block_no").agg(
+    rows = blocks.withColumn("nth", nth)
+    head = rows.filter("nth <= 4").groupBy("file", "block_no").agg(
         F.max(F.when(F.col("nth") == 1, F.regexp_extract("line", r"^Table (\d+)", 1).cast("int"))).alias("table_no"),
-        F.max(F.when(F.col("nth") == 2, F.col("cells")[0])).alias("question_label"),
+        F.max(F.when(F.col("nth") == 2, F.get("cells", F.lit(0)))).alias("question_label"),
         F.max(F.when(F.col("nth") == 3, F.col("cells"))).alias("groups"),
         F.max(F.when(F.col("nth") == 4, F.col("cells"))).alias("cols"),
     )
-    values = rows.filter("nth > 4").select("file", "block_no", F.col("cells")[0].alias("row_label"), F.posexplode("cells").alias("at", "text")).filter("at > 0")
+    values = rows.filter("nth > 4").select("file", "block_no", F.get("cells", F.lit(0)).alias("row_label"), F.posexplode("cells").alias("at", "text")).filter("at > 0")
     out = values.join(head, ["file", "block_no"])
     known = F.filter(F.slice("groups", F.lit(1), F.col("at") + 1), lambda g: F.length(F.trim(g)) > 0)
     text = F.trim("text")
