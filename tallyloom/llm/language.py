@@ -1,9 +1,11 @@
 """Language identification of mixed-language text.
 
-Script ranges narrow each word's candidate languages. Character n-gram scores per word go into a
-Viterbi pass with a switching penalty over each text's words, which labels spans. The pass runs
-over all texts of a block at once: words are cut into runs, each run's best path between any two
-end states comes from one batched pass, and only runs are then chained one after another.
+Script ranges narrow each word's candidate languages, and a text's to those of its words. Character
+n-gram scores per word go into a Viterbi pass with a switching penalty over each text's words, which
+labels spans. The pass runs over all texts of a block with the same candidates at once. Where a text
+is very long, words are cut into runs: each run's best value between any two end states comes from
+one batched pass, only runs are then chained one after another, and a second pass finds the path
+within each run.
 """
 
 from __future__ import annotations
@@ -20,10 +22,12 @@ from tallyloom.llm.textblock import WORDPUNCT, Block, Tokens, append, blocks, fr
 from tallyloom.shipping import ship
 
 UND = "und"
-#: Characters of an n-gram, buckets of n-grams, training rows at most, weight of an n-gram's score, penalty of a switch, words of a run.
-ORDERS, BUCKET_BITS, SAMPLE, TEMPER, SWITCH, RUN = (1, 2, 3, 4), 15, 4000, 0.35, 6.0, 64
-#: Score of a word whose script a language is not written in; least share of a language's letters that makes a script its own.
-FOREIGN, OWN = -15.0, 0.005
+#: Characters of an n-gram, buckets of n-grams, training rows of a language (about), weight of an n-gram's score, penalty of a switch, words of a run.
+ORDERS, BUCKET_BITS, SAMPLE, TEMPER, SWITCH, RUN = (1, 2, 3, 4), 15, 1500, 0.35, 6.0, 64
+#: Score of a word in a language that its script rules out; least share of a language's letters that makes a script its own.
+FOREIGN, OWN = -1e4, 0.005
+#: Values between end states of runs that are held at once; what a step costs besides, as transitions of a word.
+HELD, STEP = 1 << 22, 2000
 #: First code points of script ranges, in order, and the script that begins there.
 SCRIPTS = (
     (0x0, "none"), (0x41, "latin"), (0x5B, "none"), (0x61, "latin"), (0x7B, "none"), (0xC0, "latin"), (0x250, "none"), (0x370, "greek"),
@@ -93,53 +97,92 @@ class Model:
         self.allowed = (share >= OWN) @ (1 << np.arange(len(NAMES)))
         self.prior = (n_words / max(1, n_words.sum())).astype(np.float32)
 
+    def candidates(self, script: np.ndarray) -> np.ndarray:
+        """Which languages each word may be in by its scripts; all, where it has no letters or none is written so."""
+        fits = (script[:, None] & self.allowed[None, :]) != 0
+        return fits | ~fits.any(1, keepdims=True)
+
     def word_scores(self, vocab: Block) -> np.ndarray:
+        """Words by languages; FOREIGN where the word's script rules the language out."""
         out = np.zeros((vocab.n, len(self.langs)), np.float32)
         for bucket, first in grams(vocab):
             g = self.logp[bucket]
             for j in range(out.shape[1]):
                 out[:, j] += sums(g[:, j].astype(np.float64), first)
         script = scripts(vocab)
-        out = TEMPER * (out - out.max(1, keepdims=True)) if out.size else out
-        fits = (script[:, None] & self.allowed[None, :]) != 0
-        out[(script > 0)[:, None] & fits.any(1)[:, None] & ~fits] += FOREIGN
-        out[(script == 0) | ~fits.any(1)] = 0  # no letters, or a script of none of them: says nothing
+        may = self.candidates(script)
+        out = TEMPER * (out - np.where(may, out, -np.inf).max(1, keepdims=True)) if out.size else out
+        out[~may] = FOREIGN
+        out[(script == 0) | ((script[:, None] & self.allowed[None, :]) == 0).all(1)] = 0  # no letters, or a script of none of them: says nothing
         return out
 
 
+def _step(value: np.ndarray, switch: float) -> np.ndarray:
+    """The best value of being in each state (last axis) one word on, before that word's score: staying, or a switch from the best one."""
+    return np.maximum(value, value.max(-1, keepdims=True) - switch)
+
+
+def _across(scores: np.ndarray, start: np.ndarray, size: np.ndarray, switch: float) -> np.ndarray:
+    """For runs, longest first: best value of a path from each state just before the run to each at its last row."""
+    k = scores.shape[1]
+    value = np.where(np.eye(k, dtype=bool), 0, -switch).astype(np.float32)[None].repeat(len(start), 0)
+    for t in range(int(size[0])):
+        a = np.searchsorted(-size, -t, "left")  # runs longer than t
+        value[:a] = (_step(value[:a], switch) if t else value[:a]) + scores[start[:a] + t][:, None, :]
+    return value
+
+
+def _paths(scores: np.ndarray, start: np.ndarray, size: np.ndarray, before: np.ndarray | None, last: np.ndarray | None, switch: float, out: np.ndarray) -> None:
+    """Writes the best path of each run, longest first, from the state before it to that of its last row; without them, of any."""
+    k, steps, rows = scores.shape[1], int(size[0]), np.arange(len(start))
+    value = np.zeros((len(start), k), np.float32)
+    if before is not None:
+        value[np.arange(k)[None] != before[:, None]] = -switch
+    back = np.zeros((int(size.sum()), k), np.int8 if k < 128 else np.int16)
+    at = np.cumsum(size) - size
+    active = np.searchsorted(-size, -np.arange(steps), "left")
+    for t in range(steps):
+        a = active[t]
+        v = value[:a]
+        if t:
+            best = v.argmax(1)
+            move = v[rows[:a], best][:, None] - switch
+            back[at[:a] + t] = np.where(v >= move, np.arange(k), best[:, None])
+            v = np.maximum(v, move)
+        value[:a] = v + scores[start[:a] + t]
+    j = value.argmax(1) if last is None else last.copy()
+    for t in range(steps - 1, -1, -1):
+        a = active[t]
+        out[start[:a] + t] = j[:a]
+        if t:
+            j[:a] = back[at[:a] + t, j[:a]]
+
+
 def viterbi(scores: np.ndarray, first: np.ndarray, switch: float = SWITCH) -> np.ndarray:
     """The best state of every row; rows first[i] to first[i + 1] are one sequence.
 
-    A path's value is the sum of its scores minus `switch` for each change of state.
+    A path's value is the sum of its scores minus `switch` for each change of state. Sequences are
+    gone through side by side, a step of all at a time; where one is so long that steps would cost
+    most, in runs, of which k * k values are kept. A word's k states are kept while its path is found.
     """
     total, k = scores.shape
     if not total or not k:
         return np.zeros(total, np.int64)
-    counts = np.diff(first)
+    counts, out = np.diff(first), np.zeros(total, np.int64)
+    if counts.max() * STEP < total * k * k:  # few enough steps to go through whole texts
+        order = np.argsort(-counts, kind="stable")[: np.count_nonzero(counts)]
+        _paths(scores, first[:-1][order], counts[order], None, None, switch, out)
+        return out
     n_runs = -(-counts // RUN)
     run_doc = np.repeat(np.arange(len(counts)), n_runs)
     nth = np.arange(len(run_doc)) - np.repeat(np.cumsum(n_runs) - n_runs, n_runs)
     start = first[run_doc] + nth * RUN
     size = np.minimum(RUN, first[run_doc + 1] - start)
     order = np.argsort(-size, kind="stable")
-    start, size = start[order], size[order]
-    # Within runs: best value from state i just before the run to state j at its last row so far.
-    steps = int(size.max())
-    value = np.where(np.eye(k, dtype=bool), 0, -switch).astype(np.float32)[None].repeat(len(start), 0)
-    back = np.zeros((steps, len(start), k, k), np.int8 if k < 128 else np.int16)
-    active = np.searchsorted(-size, -np.arange(steps), "left")  # runs longer than t
-    for t in range(steps):
-        a = active[t]
-        v = value[:a]
-        if t:
-            best = v.argmax(2)
-            top = np.take_along_axis(v, best[:, :, None], 2)
-            stay = v >= top - switch
-            back[t, :a] = np.where(stay, np.arange(k), best[:, :, None])
-            v = np.maximum(v, top - switch)
-        value[:a] = v + scores[start[:a] + t][:, None, :]
-    unsort = np.argsort(order)
-    value = value[unsort]
+    value = np.empty((len(start), k, k), np.float32)
+    for at in np.array_split(order, max(1, -(-len(order) * k * k // HELD))):
+        if len(at):
+            value[at] = _across(scores, start[at], size[at], switch)
     # Chain runs of each text; a first run begins in any state at no cost.
     head = np.cumsum(n_runs) - n_runs
     longest = int(n_runs.max())
@@ -149,44 +192,61 @@ def viterbi(scores: np.ndarray, first: np.ndarray, switch: float = SWITCH) -> np
     at_end = np.zeros((len(run_doc), k), np.float32)
     for r in range(longest):
         at = head[many[: alive[r]]] + r
-        if r == 0:
-            free = value[at] + np.where(np.eye(k, dtype=bool), 0, 0)
-            into[at] = 0
-            at_end[at] = free.max(1)
-        else:
+        if r:
             into[at] = at_end[at - 1]
             at_end[at] = (into[at][:, :, None] + value[at]).max(1)
+        else:
+            at_end[at] = value[at].max(1)
     for r in range(longest - 1, -1, -1):
         docs = many[: alive[r]]
         at = head[docs] + r
-        last = n_runs[docs] == r + 1
-        state[at[last]] = at_end[at[last]].argmax(1)
+        end = n_runs[docs] == r + 1
+        state[at[end]] = at_end[at[end]].argmax(1)
         if r:
-            j = state[at]
-            state[at - 1] = (into[at] + value[at, :, j]).argmax(1)
-    # Back through each run, from its end state and the state before it.
+            state[at - 1] = (into[at] + value[at, :, state[at]]).argmax(1)
     before = np.zeros(len(run_doc), np.int64)
     inner = nth > 0
     before[inner] = state[np.flatnonzero(inner) - 1]
     zero = np.flatnonzero(~inner)
     before[zero] = value[zero, :, state[zero]].argmax(1)
-    i, j = before[order], state[order]
-    out = np.zeros(total, np.int64)
-    rows = np.arange(len(start))
-    for t in range(steps - 1, -1, -1):
-        a = active[t]
-        out[start[:a] + t] = j[:a]
-        if t:
-            j[:a] = back[t, rows[:a], i[:a], j[:a]]
+    _paths(scores, start[order], size[order], before[order], state[order], switch, out)
+    return out
+
+
+def narrowed(scores: np.ndarray, may: np.ndarray, first: np.ndarray, switch: float = SWITCH) -> np.ndarray:
+    """The best state of every row, where each text's states are only those that some of its words may be in.
+
+    A state that no word of a text may be in is on no best path of it, so this equals viterbi().
+    may: rows by states. Texts with the same candidates go together.
+    """
+    out, n = np.zeros(len(scores), np.int64), np.diff(first)
+    if not out.size or not scores.shape[1]:
+        return out
+    use = np.zeros((len(n), scores.shape[1]), bool)
+    full = np.flatnonzero(n)
+    use[full] = np.logical_or.reduceat(may, first[full], axis=0)
+    packed = np.packbits(use, axis=1)
+    _, group = np.unique(packed, axis=0, return_inverse=True)
+    for g in np.unique(group[full]).tolist():
+        docs = np.flatnonzero((group == g) & (n > 0))
+        states = np.flatnonzero(use[docs[0]])
+        size = n[docs]
+        rows = np.arange(int(size.sum())) + np.repeat(first[docs] - (np.cumsum(size) - size), size)
+        out[rows] = states[viterbi(scores[np.ix_(rows, states)], np.concatenate([[0], np.cumsum(size)]), switch)]
     return out
 
 
 def label(block: Block, model: Model) -> list:
     """lang_pred, score and spans of each text of the block."""
     vocab, back, t = distinct(block)
-    script = scripts(vocab)[back] > 0 if vocab.n else np.zeros(0, bool)
-    states = viterbi(model.word_scores(vocab)[back], t.first)
+    bits = scripts(vocab)
+    script = bits[back] > 0 if vocab.n else np.zeros(0, bool)
+    # a word without letters is open to all, and adds no candidate of its own where the text has another word
+    own = model.candidates(bits)
     k, n = len(model.langs), block.n
+    lettered = sums(script, t.first) > 0
+    may = own[back] & (script | ~np.repeat(lettered, t.counts))[:, None]
+    states = narrowed(model.word_scores(vocab)[back], may, t.first)
     doc = t.doc()
     letters = sums(script, t.first)
     size = np.zeros((n, max(1, k)))
@@ -237,11 +297,16 @@ def _counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample: int = SAMPLE) -> Model:
-    """Fit on up to `sample` rows with a language, by hash of their key. The driver gets one sum per language and bucket."""
+    """Fit on about `sample` rows of each language: those whose key has a hash below the language's threshold.
+
+    The driver gets one sum per language and bucket.
+    """
     ship(docs.sparkSession)
     rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).cast("string").alias("l")).filter("k is not null and l is not null")
-    ids = rows.select("k").distinct().orderBy(F.xxhash64("k"), "k").limit(sample)
-    rows = written(rows.join(F.broadcast(ids), "k").select("t", "l"), "lang-sample").coalesce(4)
+    share = rows.groupBy("l").count().select("l", (F.lit(float(sample)) / F.col("count")).alias("share"))
+    place = F.shiftrightunsigned(F.xxhash64("k"), 11) / float(1 << 53)
+    rows = rows.join(share, "l").filter(place < F.col("share")).select("t", "l")
+    rows = written(rows, "lang-sample").coalesce(4)
     got = rows.mapInArrow(_counts, "lang string, key int, n bigint").groupBy("lang", "key").agg(F.sum("n").alias("n")).toArrow()
     langs = sorted(set(got.column("lang").to_pylist()))
     which = np.array([langs.index(v) for v in got.column("lang").to_pylist()], np.int64)
@@ -264,6 +329,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str]
     spans: lang:first word:word after the last, comma-joined. Null texts and texts without a letter
     are `und`, 0 and no spans. A text in no learned script gets the language learned most from, as
     does a tie. Repeated rows get equal labels. Texts count whole. Without training rows all are
-    `und`. An empty table gives no rows.
+    `und`. An empty table gives no rows. A kept column called lang_pred, score or spans gets `_`
+    appended to its name.
     """
     return append(docs, text, partial(_make, model), [("lang_pred", "string"), ("score", "double"), ("spans", "string")], keep)
