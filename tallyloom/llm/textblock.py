@@ -155,6 +155,13 @@ def blocks(column: pa.Array, size: int = BLOCK_BYTES) -> Iterator[tuple[int, int
         lo = hi
 
 
+def trim() -> None:
+    """Give memory that nothing uses back to the system."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def freeing(f: Callable) -> Callable:
     """f, a generator over Arrow batches, which gives memory back to the system when a task ends.
 
@@ -166,9 +173,7 @@ def freeing(f: Callable) -> Callable:
         try:
             yield from f(*args, **kwargs)
         finally:
-            pa.default_memory_pool().release_unused()
-            if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
-                libc.malloc_trim(0)
+            trim()
 
     return run
 

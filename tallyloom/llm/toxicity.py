@@ -9,6 +9,7 @@ text whole and shuffles nothing.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable, Iterator
 from functools import partial
 
@@ -16,11 +17,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallyloom.llm.textblock import Block, append, blocks, freeing, sums
+from tallyloom.llm.textblock import Block, append, blocks, freeing, sums, trim
 from tallyloom.shipping import ship
 
 #: Characters of an n-gram; labelled rows of each class that are fitted on at most, and the bytes of their texts.
-ORDERS, SAMPLE, SAMPLE_BYTES = (4, 6, 8), 2000, 1 << 23
+ORDERS, SAMPLE, SAMPLE_BYTES = (4, 6, 8), 1500, 1 << 23
 #: Buckets of each order (a power of two); texts of chance that a bucket's counts are mixed with; steps, step size and ridge of the fit.
 BUCKET_BITS, PRIOR, STEPS, RATE, RIDGE = 20, 150.0, 50, 0.2, 1e-5
 #: Share of a class in the fit that does not depend on its number of rows; features of a chunk of rows.
@@ -111,10 +112,7 @@ def logistic(col: np.ndarray, first: np.ndarray, y: np.ndarray, scale: np.ndarra
     cut = np.unique(np.searchsorted(first, np.arange(0, first[-1], CHUNK), "left").clip(0, n - 1))
     parts = list(zip(cut.tolist(), [*cut[1:].tolist(), n], strict=True))
     scale = scale.astype(np.float32)
-    value = scale[col]
-    length = np.sqrt(np.add.reduceat(value * value, first[:-1])).clip(1e-6)
-    for i, j in parts:
-        value[first[i] : first[j]] /= np.repeat(length[i:j], size[i:j])
+    length = np.concatenate([np.sqrt(np.add.reduceat(scale[col[first[i] : first[j]]] ** 2, first[i:j] - first[i])) for i, j in parts]).clip(1e-6)
     share = BALANCE * n / 2 / np.where(y == 1, (y == 1).sum(), (y == 0).sum()) + 1 - BALANCE
     share /= share.sum()
     w, b = np.zeros(len(scale)), float(np.log(share[y == 1].sum() / share[y == 0].sum()))
@@ -122,10 +120,10 @@ def logistic(col: np.ndarray, first: np.ndarray, y: np.ndarray, scale: np.ndarra
     for t in range(1, STEPS + 1):
         g, total, now = RIDGE * w, 0.0, w.astype(np.float32)
         for i, j in parts:
-            at = slice(first[i], first[j])
-            z = np.add.reduceat(now[col[at]] * value[at], first[i:j] - first[i]) + b
+            here = col[first[i] : first[j]]
+            z = np.add.reduceat((now * scale)[here], first[i:j] - first[i]) / length[i:j] + b
             err = share[i:j] * (1 / (1 + np.exp(-np.clip(z, -60, 60))) - y[i:j])
-            g += np.bincount(col[at], np.repeat(err, size[i:j]) * value[at], len(w))
+            g += np.bincount(here, np.repeat(err / length[i:j], size[i:j]), len(w)) * scale
             total += err.sum()
         g = np.append(g, total)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
@@ -134,6 +132,18 @@ def logistic(col: np.ndarray, first: np.ndarray, y: np.ndarray, scale: np.ndarra
     return w * scale, float(b)
 
 
+def _sorted(got: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Labels, buckets and where each row's begin; rows without buckets are left out, the others stand in one order however they came."""
+    y, buckets = got.column("y").to_numpy().astype(float), got.column("buckets")
+    raw = [memoryview(x.as_buffer()) for x in buckets]
+    order = [i for *_, i in sorted((y[i], len(x), zlib.crc32(x), i) for i, x in enumerate(raw) if len(x))]
+    first = np.cumsum([0, *(len(raw[i]) // 4 for i in order)])
+    col = np.empty(int(first[-1]), np.int32)
+    for i, lo, hi in zip(order, first[:-1].tolist(), first[1:].tolist(), strict=True):
+        col[lo:hi] = np.frombuffer(raw[i], "<i4")
+    return y[order], col, first
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id", text: str = "text", sample: int = SAMPLE, most: int = SAMPLE_BYTES) -> Model:
     """Fit on up to `sample` rows of each class, by hash of their key, and of these on the first whose texts have `most` bytes together.
 
@@ -149,17 +159,16 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "do
     size = F.sum(F.octet_length(F.coalesce("t", F.lit("")))).over(order.rowsBetween(Window.unboundedPreceding, 0))
     rows = rows.withColumn("upto", size).filter(F.col("upto") <= most).select("t", "y")
     got = rows.mapInArrow(_features, "y int, buckets binary").toArrow()
-    found = sorted((y, x) for y, x in zip(got.column("y").to_pylist(), got.column("buckets").to_pylist(), strict=True) if x)
-    y = np.array([v for v, _ in found], float)
+    y, col, first = _sorted(got)
+    del got
     if len(set(y.tolist())) < 2:
         return Model.constant(float(np.log((n.get(1, 0) + 1) / (n.get(0, 0) + 1))))
-    first = np.cumsum([0, *(len(x) // 4 for _, x in found)])
-    col = np.frombuffer(b"".join(x for _, x in found), "<i4")
-    del got, found
     ones = int(first[np.searchsorted(y, 1)])
     n0, n1 = (np.bincount(c, minlength=1 << BUCKET_BITS) for c in (col[:ones], col[ones:]))
     scale = scales(n0, n1, int((y == 0).sum()), int((y == 1).sum()))
     weights, intercept = logistic(col, first, y, scale)
+    del col
+    trim()
     return Model(weights, scale**2, intercept)
 
 
