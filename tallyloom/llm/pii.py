@@ -4,15 +4,22 @@ Nodes of a document's graph are strings that look like personal data, among them
 the exact patterns (those labels are clamped). Neighbouring nodes share a chain potential. Nodes
 whose text is the same or ends in the same digits share a skip potential, however far apart they
 stand. Loopy sum-product message passing, until the messages stand still, gives each node's label;
-a node that the patterns left out but that the graph labels becomes an added span. All weights are
-fitted here, on nodes of a bounded sample of documents that the patterns label.
+a node that the patterns left out but that the graph labels becomes an added span.
+
+All weights are fitted here together, by the pseudo-likelihood of the labels that the patterns give
+in a bounded sample of documents. A look-alike that repeats a match has no known label: it and its
+potentials are left out of the fit, so that the patterns' own misses are not learned as NONE. Of
+some nodes all features are hidden but whether they are addresses, so that the potentials have to
+tell the rest. The executors send sums; no document reaches the driver.
 """
 
 from __future__ import annotations
 
+import ast
 import hashlib
 import re
-from collections import defaultdict
+import zlib
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from functools import partial
 
@@ -25,9 +32,10 @@ from tallyloom.shipping import ship
 
 KINDS = ("email", "ip", "card", "phone")
 NONE = len(KINDS)
-#: Documents with nodes that the weights are fitted on at most; change of a message that counts as none;
-#: characters between neighbours on the chain.
-SAMPLE, STILL, NEAR = 5000, 1e-4, 200
+#: Documents that the weights are fitted on, about; change of a message that counts as none; characters between neighbours on the chain.
+SAMPLE, STILL, NEAR = 20_000, 1e-4, 200
+#: One in HIDE nodes is fitted without its features; steps and ridge of the fit; kinds of cases (a node with its neighbours) at most.
+HIDE, STEPS, RIDGE, CASES = 3, 300, 1e-3, 200_000
 #: Digits at its end that make two numbers similar.
 TAIL = 7
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -90,16 +98,18 @@ def nodes(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, i
 
 
 FEATURES = 14
+#: Only an address can be an email, and an address can be nothing else: what is added to the weights of either.
+_BARRED = np.array([[0.0, *[-30.0] * (NONE - 1), 0.0], [-30.0, *[0.0] * NONE]])
 
 
 def features(text: str) -> list[float]:
     """Shape of a node's text, without its place."""
     d = _DIGITS.sub("", text)
     n = len(d)
-    return [
-        1, "@" in text or "at)" in text or "at]" in text, text.startswith("("), text.startswith("+"), text.count(".") == 3, text.count(".") / 4, "(" in text, " " in text,
+    return [float(v) for v in (
+        1.0, "@" in text or "at)" in text or "at]" in text, text.startswith("("), text.startswith("+"), text.count(".") == 3, text.count(".") / 4, "(" in text, " " in text,
         "-" in text, n / 10, 9 <= n <= 11, 12 <= n <= 15, n > 15, 12 <= n <= 19 and luhn(d),
-    ]
+    )]
 
 
 def links(texts: list[str], starts: list[int], kinds: list[int]) -> list[tuple[int, int, int]]:
@@ -130,52 +140,68 @@ def links(texts: list[str], starts: list[int], kinds: list[int]) -> list[tuple[i
     return out
 
 
+def shown_features(x: list[float], i: int, text: str) -> list[float]:
+    """A node's features in the fit: of one node in HIDE only the first ones, which say whether it is an address."""
+    return x if zlib.crc32(f"{i}:{text}".encode()) % HIDE else [*x[:2], *[0.0] * (FEATURES - 2)]
+
+
+def cases(x: list[list[float]], texts: list[str], kinds: list[int], edges: list[tuple[int, int, int]]) -> list[tuple]:
+    """(features, label, neighbours by edge kind and label) of each node of a document whose label is known.
+
+    Known are the matches, and as NONE the look-alikes that repeat no match. Neighbours without a
+    known label do not count.
+    """
+    repeats = {j if kinds[i] != NONE else i for i, j, kind in edges if kind and (kinds[i] == NONE) != (kinds[j] == NONE)}
+    near = [[0] * (3 * (NONE + 1)) for _ in kinds]  # what comes before on the chain, after on it, and skips
+    for i, j, kind in edges:
+        if i not in repeats and j not in repeats:
+            near[j][(2 if kind else 0) * (NONE + 1) + kinds[i]] += 1
+            near[i][(2 if kind else 1) * (NONE + 1) + kinds[j]] += 1
+    return [(tuple(shown_features(x[i], i, texts[i])), k, tuple(near[i])) for i, k in enumerate(kinds) if i not in repeats]
+
+
 class Crf:
-    """Unary weights by kind, chain and skip potentials."""
+    """Unary weights by kind, chain potentials (label before, label after) and symmetric skip potentials."""
 
-    def __init__(self, unary: np.ndarray, chain: np.ndarray, skip: float):
+    def __init__(self, unary: np.ndarray, chain: np.ndarray, skip: np.ndarray):
         self.unary, self.chain, self.skip = unary, chain, skip
 
     @classmethod
-    def fit(cls, graphs: list[tuple[list, list, list]]) -> Crf:
-        """graphs: (features, labels, edges) by document. Without nodes nothing is ever added."""
+    def fit(cls, x: np.ndarray, y: np.ndarray, near: np.ndarray, n: np.ndarray) -> Crf:
+        """Maximise the pseudo-likelihood of cases: features, label, neighbours and how many are equal. Without any nothing is ever added."""
         k = NONE + 1
-        x = np.array([f for g in graphs for f in g[0]], float).reshape(-1, FEATURES)
-        y = np.array([v for g in graphs for v in g[1]], np.int64)
-        w = np.zeros((FEATURES, k))
-        w[0, NONE] = 4
-        one, v = np.eye(k)[y], np.zeros_like(w)
-        for _ in range(400 if len(y) else 0):
-            z = x @ w
-            p = np.exp(z - z.max(1, keepdims=True))
+        prior = np.zeros((FEATURES + 3 * k, k))
+        prior[0, NONE] = 2  # where nothing is known, no personal data
+        z = np.concatenate([x.reshape(-1, FEATURES), near.reshape(-1, 3 * k)], 1)
+        w, one, weight = prior.copy(), np.eye(k)[y.astype(np.int64)], n / max(1, n.sum())
+        m, v = np.zeros_like(w), np.zeros_like(w)
+        for t in range(1, 1 + (STEPS if len(y) else 0)):
+            q = z @ w
+            q += np.where(x[:, 1:2] > 0, *_BARRED) if len(x) else 0
+            p = np.exp(q - q.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
-            v = 0.9 * v - 0.5 * (x.T @ (p - one) / len(y) + 1e-3 * w)
-            w += v
-        pairs = [np.ones((k, k)), np.ones((k, k))]
-        for _, labels, edges in graphs:
-            for i, j, kind in edges:
-                pairs[kind][labels[i], labels[j]] += 1
-        freq = (np.bincount(y, minlength=k) + 1.0) / (len(y) + k)
-        lift = lambda c: np.log(c / c.sum() / np.outer(freq, freq))
-        # Look-alikes count as NONE in the sample, so agreement is read off pairs of found nodes: how much likelier they agree than by chance.
-        found = pairs[1][:NONE, :NONE]
-        chance = float((freq[:NONE] ** 2).sum() / freq[:NONE].sum() ** 2)
-        agree = float(np.clip(np.trace(found) / found.sum(), 0.5, 0.999))
-        skip = float(np.clip(np.log(agree / (1 - agree)) - np.log(chance / (1 - chance + 1e-9)), 0.5, 6))
-        return cls(w, np.clip(lift(pairs[0]), -2, 2), skip)
+            g = z.T @ (weight[:, None] * (p - one)) + RIDGE * (w - prior)
+            # one table serves both directions of an edge: chain[a, b] as seen from b and from a, skip[a, b] from either
+            c = g[FEATURES : FEATURES + k] + g[FEATURES + k : FEATURES + 2 * k].T
+            g[FEATURES : FEATURES + k], g[FEATURES + k : FEATURES + 2 * k] = c, c.T
+            g[FEATURES + 2 * k :] += g[FEATURES + 2 * k :].T.copy()
+            m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+            w = w - 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+        return cls(w[:FEATURES], w[FEATURES : FEATURES + k], w[FEATURES + 2 * k :])
 
     def labels(self, x: np.ndarray, known: np.ndarray, edges: np.ndarray, doc: np.ndarray) -> np.ndarray:
-        """The likeliest label of each node; nodes with a known kind keep it. doc: the document of each node.
+        """The likeliest label of each node; nodes with a known kind keep it. doc: the document of each node."""
+        return self.beliefs(x, known, edges, doc).argmax(1)
+
+    def beliefs(self, x: np.ndarray, known: np.ndarray, edges: np.ndarray, doc: np.ndarray) -> np.ndarray:
+        """Logs of each node's marginals but for a constant, exact where the graph has no loops.
 
         Only an address can be an email, and an address can be nothing else. A message is passed on
         for as long as it, or one that it depends on, changes. Messages that swing are damped ever
         more, from a round on that any label has crossed the document by.
         """
         k = NONE + 1
-        u = x @ self.unary
-        address = x[:, 1] > 0
-        u[address, 1:NONE] = -30
-        u[~address, 0] = -30
+        u = x @ self.unary + np.where(x[:, 1:2] > 0, *_BARRED)
         u -= u.max(1, keepdims=True)
         fixed = known < NONE
         u[fixed] = -30
@@ -185,9 +211,7 @@ class Crf:
             # both directions of each edge; messages in logs
             src, dst = np.concatenate([edges[:, 0], edges[:, 1]]), np.concatenate([edges[:, 1], edges[:, 0]])
             half, m = len(edges), np.zeros((2 * len(edges), k))
-            skip = np.eye(k) * self.skip
-            skip[NONE, NONE] = 0  # two look-alikes say nothing about each other
-            pot = np.where((edges[:, 2] == 1)[:, None, None], skip[None], self.chain[None])
+            pot = np.where((edges[:, 2] == 1)[:, None, None], self.skip[None], self.chain[None])
             pot = np.concatenate([pot, pot.transpose(0, 2, 1)])
             calm, turn, at = 100 + 2 * np.bincount(doc)[doc[src]], 0, np.arange(2 * half)
             while len(at):
@@ -204,9 +228,7 @@ class Crf:
                 due = due[src]
                 due[moved] = True
                 at, turn = np.flatnonzero(due), turn + 1
-        out = total.argmax(1)
-        out[fixed] = known[fixed]
-        return out
+        return total
 
 
 _MARK = np.isin(np.arange(256), list(b"0123456789@[("))
@@ -227,31 +249,36 @@ def graph(text: str) -> tuple[list, list, list, list]:
     return base, found, texts, links(texts, [s for s, _, _ in found], [k for _, _, k in found])
 
 
-MODEL_FIELDS = "features array<double>, labels array<int>, edges array<int>"
+CASE_FIELDS = "x string, y int, near string, n bigint"
 
 
 @freeing
-def _graphs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cases(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Equal cases of a batch once, with their number; what a batch can send is bounded by its own texts."""
     for b in batches:
         for _, _, block in blocks(b.column(0)):
-            rows = []
+            seen = Counter()
             for i in _marked(block).tolist():
                 _, found, texts, edges = graph(block.text(i))
                 if found:
-                    rows.append(([float(v) for t in texts for v in features(t)], [k for _, _, k in found], [v for e in edges for v in e]))
-            cols = list(zip(*rows, strict=True)) if rows else [[], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.list_(pa.float64())), pa.array(cols[1], pa.list_(pa.int32())), pa.array(cols[2], pa.list_(pa.int32()))], names=["features", "labels", "edges"])
+                    seen.update((repr(x), y, repr(near)) for x, y, near in cases([features(t) for t in texts], texts, [k for _, _, k in found], edges))
+            cols = list(zip(*((*case, n) for case, n in seen.items()), strict=True)) or [[], [], [], []]
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.int64())], names=["x", "y", "near", "n"])
 
 
-def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Crf:
-    """Fit on up to 4 * sample documents by hash of their key, of these up to `sample` with nodes."""
+def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE, most: int = CASES) -> Crf:
+    """Fit on about `sample` documents, those whose key has a hash below a threshold.
+
+    Nodes that are alike in features, label and neighbours are one case; of more than `most` cases
+    the commonest count.
+    """
     ship(docs.sparkSession)
-    ids = docs.select(F.col(key).alias("k")).filter("k is not null").distinct().orderBy(F.xxhash64("k"), "k").limit(4 * sample)
-    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(ids), "k").select("t")
-    found = rows.mapInArrow(_graphs, MODEL_FIELDS).limit(sample).collect()
-    graphs = [(np.array(r.features).reshape(-1, FEATURES).tolist(), r.labels, np.array(r.edges, int).reshape(-1, 3).tolist()) for r in found]
-    graphs.sort(key=repr)  # whatever order the rows came in
-    return Crf.fit(graphs)
+    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).filter("k is not null")
+    share = sample / max(1, rows.count())
+    rows = rows.filter(F.shiftrightunsigned(F.xxhash64("k"), 11) / float(1 << 53) < share).select("t")
+    found = rows.mapInArrow(_cases, CASE_FIELDS).groupBy("x", "y", "near").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "x", "y", "near").limit(most).collect()
+    x, near = (np.array([ast.literal_eval(r[c]) for r in found], float) for c in ("x", "near"))
+    return Crf.fit(x.reshape(-1, FEATURES), np.array([r.y for r in found]), near, np.array([r.n for r in found], float))
 
 
 def annotate(block: Block, crf: Crf) -> list[tuple[list, list]]:
@@ -314,7 +341,8 @@ def find(docs: DataFrame, crf: Crf, text: str = "text", keep: list[str] | None =
 
     Offsets are code points. Null and empty texts have no spans (the digest of an empty string).
     Each document is its own graph, so repeated rows get equal spans. Texts count whole; one of n
-    look-alikes has at most 5 n edges. An empty table gives no rows.
+    look-alikes has at most 5 n edges. An empty table gives no rows. A kept column that has the name
+    of a new one gets `_` appended.
     """
     return append(docs, text, partial(_digests, crf), FIELDS, keep)
 
@@ -323,6 +351,8 @@ def redact(docs: DataFrame, crf: Crf, text: str = "text") -> DataFrame:
     """docs with every span of the text replaced by its kind in brackets; other rows and columns as they were.
 
     Null and empty texts stay as they are. Overlapping spans become one mark, the first one's.
+    Repeated rows are masked alike; very long texts count whole; an empty table stays empty; columns
+    of any names stay.
     """
     own = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))  # names of docs may clash with the added ones
     at = f"c{docs.columns.index(text)}"
