@@ -28,6 +28,8 @@ ORDERS, BUCKET_BITS, SAMPLE, TEMPER, SWITCH, RUN = (1, 2, 3, 4), 15, 1500, 0.35,
 FOREIGN, OWN = -1e4, 0.005
 #: Values between end states of runs that are held at once; what a step costs besides, as transitions of a word.
 HELD, STEP = 1 << 22, 2000
+#: Languages at most: each is a state, and a row of sums on the driver.
+MOST = 1000
 #: First code points of script ranges, in order, and the script that begins there.
 SCRIPTS = (
     (0x0, "none"), (0x41, "latin"), (0x5B, "none"), (0x61, "latin"), (0x7B, "none"), (0xC0, "latin"), (0x250, "none"), (0x370, "greek"),
@@ -303,9 +305,11 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     """
     ship(docs.sparkSession)
     rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).cast("string").alias("l")).filter("k is not null and l is not null")
-    share = rows.groupBy("l").count().select("l", (F.lit(float(sample)) / F.col("count")).alias("share"))
+    share = written(rows.groupBy("l").count().select("l", (F.lit(float(sample)) / F.col("count")).alias("share")), "lang-shares")
+    if (n := share.count()) > MOST:
+        raise ValueError(f"{n} languages; {MOST} at most are learned at once")
     place = F.shiftrightunsigned(F.xxhash64("k"), 11) / float(1 << 53)
-    rows = rows.join(share, "l").filter(place < F.col("share")).select("t", "l")
+    rows = rows.join(F.broadcast(share), "l").filter(place < F.col("share")).select("t", "l")
     rows = written(rows, "lang-sample").coalesce(4)
     got = rows.mapInArrow(_counts, "lang string, key int, n bigint").groupBy("lang", "key").agg(F.sum("n").alias("n")).toArrow()
     langs = sorted(set(got.column("lang").to_pylist()))
