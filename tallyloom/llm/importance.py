@@ -30,25 +30,30 @@ FINE, WIDE = 25, 19
 
 
 _U = np.uint64
-#: Stands for a word that repeats the one before it.
-_AGAIN = 0x5BD1E995
+#: Buckets of the two n-grams that stand for a word's form: it repeats the word before it; it is all in capitals.
+_AGAIN, _CAPITALS = 0x5BD1 % (1 << BUCKET_BITS), 0xE995 % (1 << BUCKET_BITS)
+_UPPER, _LOWER = (np.isin(np.arange(256), range(a, a + 26)) for a in (65, 97))
 
 
 def grams(block: Block) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the block's n-grams, and their texts' numbers.
 
-    Tokens are words as they are written and single punctuation marks. A word that repeats the one
-    before it makes one n-gram more, the same for all words.
+    Tokens are words as they are written and runs of punctuation. A word that repeats the one before
+    it makes one n-gram more, and so does one of two bytes or more with A-Z and without a-z; these
+    are the same for all words, since most words are too rare to tell much.
     """
     t = block.tokens(WORDPUNCT)
     h, doc = t.hashes(), t.doc()
-    again = np.zeros(len(h), bool)
+    word = WORDPUNCT[block.u[t.start]] == 2 if len(h) else np.zeros(0, bool)
+    again, capitals = np.zeros(len(h), bool), np.zeros(len(h), bool)
     if len(h):
-        again[1:] = (h[1:] == h[:-1]) & (doc[1:] == doc[:-1]) & (WORDPUNCT[block.u[t.start[1:]]] == 2)
+        again[1:] = (h[1:] == h[:-1]) & (doc[1:] == doc[:-1]) & word[1:]
+        upper, lower = (np.concatenate([[0], np.cumsum(m[block.u])]) for m in (_UPPER, _LOWER))
+        capitals = word & (t.end - t.start > 1) & (upper[t.end] > upper[t.start]) & (lower[t.end] == lower[t.start])
     found = [windows(t, h, n) for n in ORDERS]
-    bucket = np.concatenate([v >> _U(64 - BUCKET_BITS) for v, _ in found]).astype(np.int64)
-    here = doc[again]
-    return np.concatenate([bucket, np.full(len(here), _AGAIN % (1 << BUCKET_BITS))]), np.concatenate([*(doc[at] for _, at in found), here])
+    forms = [(np.full(int(m.sum()), b), doc[m]) for m, b in ((again, _AGAIN), (capitals, _CAPITALS))]
+    bucket = [*((v >> _U(64 - BUCKET_BITS)).astype(np.int64) for v, _ in found), *(b for b, _ in forms)]
+    return np.concatenate(bucket), np.concatenate([*(doc[at] for _, at in found), *(d for _, d in forms)])
 
 
 @freeing
