@@ -186,6 +186,8 @@ def repeat_documents(docs: DataFrame, weights: Sequence[float] = (5, 2, 1)) -> D
 
     A source's share of words decides; rows of size 0 go as often as their source's whole passes,
     and once more where their hash is below its threshold.
+    Null and empty texts have size 0; null sources are one source; an empty table stays empty; very
+    long texts count whole.
     """
     names = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # names of docs may clash with the added ones
     own = docs.toDF(*names.values())

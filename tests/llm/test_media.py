@@ -3,6 +3,7 @@ import tarfile
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings, strategies as st
 
 from tallyloom.llm import media
@@ -36,7 +37,17 @@ def check(rows, texts):
         assert r.payload_sha256 == hashlib.sha256(data).hexdigest()
         assert r.tail_crc32 == zlib.crc32(data[-16:])
         assert r.width * r.height == r.payload_bytes
-        assert r.feature == media.feature(data)
+        assert r.feature == feature(data)
+
+
+def feature(data):
+    """Mean, deviation and counts of eight bins of 32 values, one byte at a time."""
+    mean = sum(data) / len(data)
+    spread = max(0.0, sum(x * x for x in data) / len(data) - mean * mean) ** 0.5
+    bins = [0] * 8
+    for x in data:
+        bins[x // 32] += 1
+    return f"{mean:.4f};{spread:.4f};" + ",".join(map(str, bins))
 
 
 def test_store_is_content_addressed(spark, tmp_path):
@@ -63,9 +74,18 @@ def test_columns(spark):
     assert by[100].digest == by[101].digest and by[102].digest == by[103].digest and by[102].n_bytes != by[103].n_bytes
 
 
+def test_common_payloads_are_not_joined_by_shuffle(spark, monkeypatch):
+    texts = {i: "the same" if i % 3 else f"own {i}" for i in range(90)}
+    monkeypatch.setattr(media, "HOT", 10)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(4)
+    rows = media.media_columns(docs).collect()
+    assert len(rows) == 90 and len({(r.digest, r.shard, r.offset) for r in rows}) == 31
+    check(rows, texts)
+
+
 def test_awkward_rows(spark):
     docs = awkward(spark)
-    rows = media.media_columns(docs.drop("digest")).collect()
+    rows = media.media_columns(docs.withColumn("digest", F.lit("other"))).collect()
     assert len(rows) == docs.count()
     check(rows, {r.doc_id: r.text for r in docs.collect()})
     assert media.media_columns(empty(spark)).count() == 0

@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import re
 
 import numpy as np
@@ -104,15 +105,16 @@ def test_messages_stand_still(spark):
     n, k = 60, pii.NONE + 1
     unary = np.zeros((pii.FEATURES, k))
     unary[0] = [-9, -9, -9, -4, 0]
-    crf = pii.Crf(unary, np.zeros((k, k)), 4.5)
+    pot = np.eye(k) * 4.5
+    pot[pii.NONE, pii.NONE] = 0
+    crf = pii.Crf(unary, np.zeros((k, k)), pot)
     x = np.zeros((n, pii.FEATURES))
     x[:, 0] = 1
     known = np.array([3] + [pii.NONE] * (n - 1))
     edges = np.array([(i, i + 1, 1) for i in range(n - 1)])
-    u, pot = np.tile(unary[0], (n, 1)), np.eye(k) * 4.5
+    u = np.tile(unary[0], (n, 1))
     u[:, 0] = -30
     u[0] = [-30, -30, -30, 0, -30]
-    pot[pii.NONE, pii.NONE] = 0
     ahead, behind = np.zeros((n, k)), np.zeros((n, k))
     for i in range(1, n):
         ahead[i] = np.log(np.exp((u[i - 1] + ahead[i - 1])[:, None] + pot).sum(0))
@@ -121,3 +123,74 @@ def test_messages_stand_still(spark):
     want = (u + ahead + behind).argmax(1)
     assert crf.labels(x, known, edges, np.zeros(n, int)).tolist() == want.tolist()
     assert (want == 3).sum() > 10
+
+
+def exact_beliefs(crf, x, known, edges):
+    """Marginals by going through every labelling."""
+    n, k = len(x), pii.NONE + 1
+    u = x @ crf.unary + np.where(x[:, 1:2] > 0, *pii._BARRED)
+    total = np.zeros((n, k))
+    for labels in itertools.product(range(k), repeat=n):
+        if any(f < pii.NONE and v != f for v, f in zip(labels, known, strict=True)):
+            continue
+        e = sum(u[i, v] for i, v in enumerate(labels)) + sum((crf.skip if kind else crf.chain)[labels[i], labels[j]] for i, j, kind in edges)
+        for i, v in enumerate(labels):
+            total[i, v] += np.exp(e)
+    return total / total.sum(1, keepdims=True)
+
+
+def test_beliefs_equal_enumeration():
+    """Exact on trees; on small loops near enough to give the same labels."""
+    rng, k = np.random.default_rng(6), pii.NONE + 1
+    for case in range(12):
+        skip = rng.normal(size=(k, k)) * 0.8
+        crf = pii.Crf(rng.normal(size=(pii.FEATURES, k)) * 0.3, rng.normal(size=(k, k)), (skip + skip.T) / 2 + np.eye(k))
+        n = 5
+        x = rng.random((n, pii.FEATURES)).round()
+        known = np.where(rng.random(n) < 0.3, rng.integers(1, pii.NONE, n), pii.NONE)
+        x[known < pii.NONE, 1] = 0
+        edges = [(int(rng.integers(0, j)), j, int(rng.integers(0, 2))) for j in range(1, n)]
+        loops = case % 3 == 2
+        if loops:
+            edges.append((0, n - 1, 1))
+        got = crf.beliefs(x, known, np.array(edges), np.zeros(n, int))
+        got = np.exp(got - got.max(1, keepdims=True))
+        got /= got.sum(1, keepdims=True)
+        want = exact_beliefs(crf, x, known.tolist(), edges)
+        free = known == pii.NONE
+        assert np.abs(got - want)[free].max(initial=0) < (0.15 if loops else 2e-3)
+
+
+def test_fit_climbs_the_pseudo_likelihood():
+    """The fitted tables reach the likelihood's top: no small change of one weight betters it."""
+    rng, k = np.random.default_rng(1), pii.NONE + 1
+    n = 400
+    y = rng.integers(1, k, n)
+    x = np.zeros((n, pii.FEATURES))
+    x[:, 0], x[:, 3], x[:, 9] = 1, y == 3, rng.random(n)
+    near = np.zeros((n, 3 * k))
+    near[np.arange(n), 2 * k + np.where(rng.random(n) < 0.8, y, rng.integers(1, k, n))] = 1
+    crf = pii.Crf.fit(x, y, near, np.ones(n))
+    assert all(crf.skip[v, v] == crf.skip[v].max() for v in range(1, k)) and np.allclose(crf.skip, crf.skip.T)
+
+    def value(unary, skip):
+        q = x @ unary + near[:, 2 * k :] @ skip + np.where(x[:, 1:2] > 0, *pii._BARRED)
+        q -= np.log(np.exp(q - q.max(1, keepdims=True)).sum(1, keepdims=True)) + q.max(1, keepdims=True)
+        prior = np.zeros_like(unary)
+        prior[0, pii.NONE] = 2
+        return q[np.arange(n), y].mean() - pii.RIDGE / 2 * (((unary - prior) ** 2).sum() + (skip**2).sum())
+
+    top = value(crf.unary, crf.skip)
+    for i in (0, 3, 9):
+        for v in range(1, k):
+            for d in (-0.3, 0.3):
+                moved = crf.unary.copy()
+                moved[i, v] += d
+                assert value(moved, crf.skip) < top + 1e-3
+
+
+def test_a_look_alike_that_repeats_a_match_is_no_example_of_none():
+    text = "call +1 (487) 555-7209 or 4875557209, order 1234567890123456"
+    _, found, texts, edges = pii.graph(text)
+    got = pii.cases([pii.features(t) for t in texts], texts, [k for _, _, k in found], edges)
+    assert [k for _, _, k in found] == [3, pii.NONE, pii.NONE] and [y for _, y, _ in got] == [3, pii.NONE]

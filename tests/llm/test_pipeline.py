@@ -9,7 +9,7 @@ import corpus_pipeline
 from tallyloom.llm import importance, jaccard, pii, queries
 from tallyloom.llm.scratch import written
 
-from .helpers import classes, shingles
+from .helpers import awkward, classes, shingles
 from .test_pii import base
 
 SF = "/root/testdata/sf0.001"
@@ -71,5 +71,23 @@ def test_pipeline_stage_by_stage(spark):
     assert {r.doc_id for r in rows} == {r.doc_id for r in out["mixing"].collect()}
 
 
+def test_pipeline_awkward(spark, tmp_path):
+    """Nulls, empty, repeated and clashing rows through all stages; and empty tables."""
+    docs = awkward(spark)
+    labels = "doc_id bigint, quality int, toxic int"
+    for name, rows in (("full", docs), ("none", docs.limit(0))):
+        rows.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame([(1, 1, 0), (5, 1, 0), (None, 1, 1), (8, 0, None)] if name == "full" else [], labels).write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        sf, at = f"{tmp_path}/{name}", spark.read.parquet(f"{tmp_path}/{name}/documents.parquet")
+        for stage_name, stage in corpus_pipeline.STAGES:
+            before, at = at, written(stage(spark, at, sf), stage_name)
+            if stage_name != "packing":
+                assert at.columns == before.columns
+            if stage_name == "near_duplicates":
+                ids = [r.doc_id for r in at.select("doc_id").collect()]
+                assert len(ids) == len(set(ids)) and 6 not in ids
+        assert (at.count() == 0) == (name == "none")
+
+
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
