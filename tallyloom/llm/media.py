@@ -21,11 +21,11 @@ from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tallyloom.llm.scratch import fresh_path, written
+from tallyloom.llm.scratch import fresh_path, release, written
 from tallyloom.llm.textblock import freeing
 from tallyloom.shipping import ship
 
-WIDTH, LEVEL = 192, 4
+WIDTH, LEVEL = 192, 6
 #: A payload of more than one in HOT rows is common.
 HOT = 4096
 #: Bytes of a stored payload up to the end of its size fields.
@@ -117,7 +117,12 @@ class Shard:
             self.out.close()
 
 
-INDEX = "n_bytes bigint, digest string, shard string, offset bigint, length bigint"
+#: Digests are bytes in all tables between the steps, and text in what is returned.
+INDEX = "n_bytes bigint, digest binary, shard string, offset bigint, length bigint"
+
+
+def _text(digest: str):
+    return F.lower(F.hex(digest))
 
 
 @freeing
@@ -127,7 +132,7 @@ def _store(batches: Iterable[pa.RecordBatch], folder: str) -> Iterator[pa.Record
     for b in batches:
         raws = [x.encode() if x is not None else b"" for x in b.column(1).to_pylist()]
         at = [shard.add(payload(raw)) for raw in raws]
-        cols = [pa.array(list(map(len, raws)), pa.int64()), pa.array([d for d, _, _ in at], pa.string()), pa.array([shard.name] * len(at), pa.string()), pa.array([o for _, o, _ in at], pa.int64()), pa.array([n for _, _, n in at], pa.int64())]
+        cols = [pa.array(list(map(len, raws)), pa.int64()), pa.array([bytes.fromhex(d) for d, _, _ in at], pa.binary()), pa.array([shard.name] * len(at), pa.string()), pa.array([o for _, o, _ in at], pa.int64()), pa.array([n for _, _, n in at], pa.int64())]
         yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=["key", "n_bytes", "digest", "shard", "offset", "length"])
     shard.close()
 
@@ -140,7 +145,7 @@ def store(docs: DataFrame, folder: str, key: str = "doc_id", text: str = "text")
     points to one (the first by shard name). Null counts as empty text; an empty table writes none.
     """
     rows = _stored(docs, folder, key, text)
-    return _with(rows, _places(rows)).select(F.col("key").alias(key), "n_bytes", "digest", "shard", "offset", "length")
+    return _with(rows, _places(rows)).select(F.col("key").alias(key), "n_bytes", _text("digest").alias("digest"), "shard", "offset", "length")
 
 
 def _stored(docs: DataFrame, folder: str, key: str, text: str) -> DataFrame:
@@ -187,15 +192,15 @@ def _ranges(batches: Iterable[pa.RecordBatch], folder: str, whole: bool) -> Iter
                 if whole:
                     stored = f.read_at(length, offset)
                     data = decode(stored)
-                    row += len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-16:]), hashlib.sha256(stored).hexdigest(), feature(data)
+                    row += len(data), hashlib.sha256(data).digest(), zlib.crc32(data[-16:]), hashlib.sha256(stored).digest(), feature(data)
                 rows.append(row)
             names = (*META, *WHOLE) if whole else META
-            kinds = [pa.string() if x.endswith(" string") else pa.int64() for x in names]
+            kinds = [{"string": pa.string(), "binary": pa.binary(), "bigint": pa.int64()}[x.split()[1]] for x in names]
             cols = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
             yield pa.RecordBatch.from_arrays([part.column("digest"), *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))], names=["digest", *(x.split()[0] for x in names)])
 
 
-WHOLE = ("payload_bytes bigint", "payload_sha256 string", "tail_crc32 bigint", "read_sha256 string", "feature string")
+WHOLE = ("payload_bytes bigint", "payload_sha256 binary", "tail_crc32 bigint", "read_sha256 binary", "feature string")
 META = ("width bigint", "height bigint")
 
 
@@ -205,9 +210,10 @@ def read(index: DataFrame, folder: str, whole: bool = False) -> DataFrame:
     Each stored payload is read once, shard by shard in offset order.
     """
     ship(index.sparkSession)
+    kind = index.schema["digest"].dataType.simpleString()
     one = index.groupBy("digest").agg(F.min(F.struct("shard", "offset", "length")).alias("at")).select("digest", "at.*")
     one = one.repartition("shard").sortWithinPartitions("shard", "offset")
-    return one.mapInArrow(partial(_ranges, folder=folder, whole=whole), f"digest string, {', '.join((*META, *WHOLE) if whole else META)}")
+    return one.mapInArrow(partial(_ranges, folder=folder, whole=whole), f"digest {kind}, {', '.join((*META, *WHOLE) if whole else META)}")
 
 
 def media_columns(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -221,6 +227,8 @@ def media_columns(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     rows = _stored(docs, folder, key, text)
     places = _places(rows)
     got = read(places, folder, whole=True)
-    got = got.withColumn("read_sha256", F.when(F.col("read_sha256") == F.col("digest"), F.col("digest")).otherwise(F.raise_error(F.lit("stored bytes do not match their digest"))))
-    facts = written(places.join(got, "digest"), "facts")
-    return _with(rows, facts).withColumnRenamed("key", key)
+    got = got.withColumn("ok", F.when(F.col("read_sha256") == F.col("digest"), True).otherwise(F.raise_error(F.lit("stored bytes do not match their digest"))))
+    facts = written(places.join(got.drop("read_sha256"), "digest"), "facts")
+    release(places)
+    out = _with(rows, facts).filter("ok").drop("ok").withColumns({"digest": _text("digest"), "payload_sha256": _text("payload_sha256")})
+    return out.withColumn("read_sha256", F.col("digest")).withColumnRenamed("key", key)
