@@ -38,7 +38,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     skipped; line breaks and commas inside quotes belong to their cell. Files are small reports;
     each is read whole by one task, files in parallel.
     """
-    files = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
     lines = files.select("file", F.posexplode(logical_lines(F.col("value"))).alias("line_no", "line"))
     lines = lines.filter((F.trim("line") != "") & ~F.col("line").startswith("#page")).withColumn("cells", cells_of(F.col("line")))
     blocks = sessionize(lines, F.col("line").rlike(r"^Table \d+"), ["line_no"], ["file"]).filter("block_no > 0")

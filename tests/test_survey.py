@@ -5,7 +5,7 @@ import csv
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.operators import calibration, metrics, model, quality, reshape, stability
+from tallyloom.operators import calibration, metrics, ml, model, quality, reshape, stability
 from tallyloom.sources import crosstab, sink, wide_csv
 from tallyloom.streaming import ingest
 
@@ -187,6 +187,70 @@ def test_crosstab(spark, tmp_path):
     assert got[1, "Top box", "Total"].is_pct and got[12, "x", "All"].value == 7.0
 
 
+@pytest.mark.parametrize("width", [1, 256, 257, 1000])
+def test_crosstab_of_any_width(spark, tmp_path, width):
+    cols = [f"c{i}" for i in range(width)]
+    lines = ["Table 7", "Q", ",G" + "," * (width - 1), "," + ",".join(cols), "row," + ",".join(str(i) for i in range(width))]
+    (tmp_path / "w.csv").write_text("\n".join(lines) + "\n")
+    got = {r.banner_col: (r.value, r.banner_group, r.row_label) for r in crosstab.read(spark, str(tmp_path)).collect()}
+    assert got == {c: (float(i), "G", "row") for i, c in enumerate(cols)}
+
+
+def test_crosstab_keeps_breaks_quotes_and_commas_of_a_cell(spark, tmp_path):
+    (tmp_path / "w.csv").write_text('Table 2\r\n"Why\nnot, ""ever""?"\r\n,Total\r\n,"A\r\nB"\r\n"x, ""y""",5%\r\n"",6\r\n')
+    got = sorted((r.question_label, r.banner_col, r.row_label or "", r.value, r.is_pct) for r in crosstab.read(spark, str(tmp_path)).collect())
+    assert got == [('Why\nnot, "ever"?', "A\r\nB", "", 6.0, False), ('Why\nnot, "ever"?', "A\r\nB", 'x, "y"', 5.0, True)]
+
+
+def test_four_gates(raw, built):
+    persona, resp, fact = built
+    run = model.runs(raw)
+    sections = raw.withColumn("section", F.lit("2.1"))
+    assert quality.gate_raw(sections, "section", {"2.1": 4})["all"] == 4
+    quality.gate_personas(persona, run, 3, run.count(), 4)
+    quality.gate_questions(fact, 4, 3)
+    primary = fact.filter("is_primary_run").count()
+    got = quality.gate_facts(fact, 16, primary, 4, 3)
+    assert got["single_rows"] + got["replicated_rows"] == 16
+    for call in (lambda: quality.gate_personas(persona, run, 4, run.count(), 4), lambda: quality.gate_personas(persona, run, 3, run.count(), 5), lambda: quality.gate_questions(fact, 4, 2), lambda: quality.gate_facts(fact, 16, primary, 5, 3), lambda: quality.gate_raw(sections, "section", {"2.1": 4, "2.2": 1})):
+        with pytest.raises(quality.GateError):
+            call()
+
+
+def test_dq_cohort_sizes_and_replicated_rows(raw, built):
+    persona, resp, fact = built
+    ages = raw.select((F.col("archetype_age_range") == "17-24").alias("age_band_is_imputed"))
+    universe = model.option_universe(model.with_slots(resp, ["archetype_id", "run_id"]), ["question_key"])
+
+    def observed(**more):
+        got = quality.survey_suite(fact, resp, persona, ages, model.runs(raw), universe, {"DQ16": 4} | more)
+        return {r.check_id: (r.observed, r.passed) for r in got.collect()}
+
+    right = observed(**{"DQ04:G.1": 1, "DQ04:G.2": 1, "DQ04:S.1": 1, "DQ15": 4, "DQ15r": 8, "DQ16n": model.runs(raw).count()})
+    assert all(right[k][1] for k in ("DQ04", "DQ13", "DQ15", "DQ15r", "DQ16", "DQ16n"))
+    assert observed(**{"DQ04:G.1": 2, "DQ04:G.2": 1, "DQ04:S.1": 1})["DQ04"] == (1, False)
+    assert observed(**{"DQ04:G.1": 1, "DQ04:G.2": 1})["DQ04"] == (1, False)
+    assert observed(**{"DQ04:G.1": 1, "DQ04:G.2": 1, "DQ04:S.1": 1, "DQ04:S.2": 1})["DQ04"] == (1, False)
+
+
+def test_driver_feature_mart(built):
+    persona, _, fact = built
+    boxed = metrics.with_boxes(fact)
+    flags = metrics.persona_flags(boxed.filter("is_primary_run"), "archetype_id", {"cut_fan": F.col("meta") == "ELEMENT1", "cut_postint_tb": F.col("is_tb")})
+    got = {r.archetype_id: r for r in ml.driver_features(boxed, persona, flags).collect()}
+    assert set(got) == {"p1", "p2", "p3"}
+    assert set(ml.PERSONA_FEATURES) | {"archetype_id", "postint_tb", "cut_fan"} == set(got["p1"].asDict())
+    assert got["p1"].postint_tb is True and got["p2"].postint_tb is False
+
+
+def test_agreement_from_counts_equals_pairs(spark):
+    rows = [(u, i, v) for u, own in {"a": [1, 1, 2, None], "b": [3], "c": [None, None], "d": [4, 4]}.items() for i, v in enumerate(own)]
+    df = spark.createDataFrame(rows, "unit string, run int, x int")
+    both = stability.agreement_by_field(stability.pairs(df, ["unit"], "run", ["x"]), {"x": (F.col("x_a"), F.col("x_b"))}).first()
+    got = stability.agreement_of(df, ["unit"], [], {"x": F.col("x")}).first()
+    assert (got.n_pairs, got.n_same / got.n_pairs, got.n_run_pairs) == (both.n_pairs, both.agreement_rate, 8)
+
+
 def test_sinks(spark, tmp_path):
     df = spark.range(100).withColumn("k", F.col("id") % 7)
     path = str(tmp_path / "t")
