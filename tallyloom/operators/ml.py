@@ -62,6 +62,28 @@ def explain(model: PipelineModel, df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(sorted(total.items(), key=lambda r: (-r[1], r[0])), "feature string, attribution double")
 
 
+#: The persona's own features of the driver model, and the response that its label comes from.
+PERSONA_FEATURES = (
+    "creative", "gender_clean", "age_band_banner", "archetype_race", "income_low_usd", "is_parent", "nps_band",
+    "archetype_psychometric_vector_name", "archetype_adoption_category_name", "archetype_location_type",
+)
+LABEL_META = "POSTINT"
+
+
+def driver_features(boxed: DataFrame, persona: DataFrame, flags: DataFrame, by: Sequence[str] = ("archetype_id",), features: Sequence[str] = PERSONA_FEATURES, meta: str = LABEL_META, skip: Sequence[str] = ("cut_postint_tb",)) -> DataFrame:
+    """The driver feature mart: one row per persona with an answer to `meta`: label, persona features, behaviour cuts.
+
+    The label is whether any primary answer to `meta` is in the top box, null where none has a code
+    (such rows are for the caller to leave out and count). `skip` names cuts that are the label
+    itself. Labels and flags are summed by persona before they are joined; a persona without flags
+    keeps its row.
+    """
+    label = boxed.filter((F.col("meta") == meta) & F.col("is_primary_run")).groupBy(*by).agg(F.bool_or("is_tb").alias("postint_tb"))
+    own = persona.select(*by, *features)
+    cuts = flags.drop(*skip)
+    return label.join(own, list(by)).join(cuts, list(by), "left")
+
+
 def evaluate(predicted: DataFrame) -> dict[str, float]:
     """roc_auc, precision, recall, f1, accuracy, log_loss, and whether the AUC reaches the floor."""
     many = lambda m: MulticlassClassificationEvaluator(metricName=m).evaluate(predicted)

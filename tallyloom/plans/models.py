@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallyloom.operators import ml, verbatim
+from tallyloom.operators import metrics, ml, verbatim
 from tallyloom.plans.base import Tables, query
 
 c = F.col
@@ -22,6 +22,17 @@ def text_features(t: Tables) -> DataFrame:
     return docs.join(t.labels, "doc_id")
 
 
+@query("""select user_id, bool_or(tb) as postint_tb, any_value(seg) as segment, any_value(debt) as in_debt, bool_or(buyer) as big_buyer from
+  (select user_id, case when event_type = 'purchase' then value > 50 end as tb, event_type = 'purchase' as asked, c_mktsegment as seg, c_acctbal < 0 as debt,
+    bool_or(event_type = 'error') over (partition by user_id) as buyer from events join customer on c_custkey = user_id) where asked group by 1""")
+def driver_mart(t: Tables) -> DataFrame:
+    """The driver feature mart over events: the label from purchases, features from customers, a cut from errors."""
+    boxed = t.events.select("user_id", c("event_type").alias("meta"), F.lit(True).alias("is_primary_run"), (c("value") > 50).alias("is_tb"))
+    persona = t.customer.select(c("c_custkey").alias("user_id"), c("c_mktsegment").alias("segment"), (c("c_acctbal") < 0).alias("in_debt"))
+    flags = metrics.persona_flags(t.events, "user_id", {"big_buyer": c("event_type") == "error", "postint_tb": c("value") > 50})
+    return ml.driver_features(boxed, persona, flags, ["user_id"], ["segment", "in_debt"], "purchase", ["postint_tb"])
+
+
 @query()
 def ml_drivers(t: Tables) -> DataFrame:
     df = text_features(t)

@@ -49,3 +49,27 @@ def test_each_prompt_is_coded_once(spark):
     rows = spark.createDataFrame([(i, "same") for i in range(50)], "id int, t string")
     got = verbatim.code(rows, F.col("t"), Counting({}, [], [])).collect()
     assert len(got) == 50 and {r.sentiment for r in got} == {"1"}
+
+
+class Recording(verbatim.KeywordCoder):
+    """Its sentiment tells how many metas and prompts a call had."""
+
+    def code(self, prompts):
+        metas = {p.split("about ")[1].split("?")[0] for p in prompts}
+        return [(f"{len(metas)}", p, None, False, False) for p in prompts]
+
+
+def test_prompts_of_primary_runs_are_coded_by_meta(spark):
+    rows = [(i, f"m{i % 3}", f"What about m{i % 3}?", None if i == 4 else " " if i == 5 else f"answer {i % 7}", i % 10 != 9) for i in range(60)]
+    fact = spark.createDataFrame(rows, "id int, meta string, question_text string, qual_text string, is_primary_run boolean").repartition(4)
+    got = {r.id: r for r in verbatim.code_fact(fact, Recording({}, [], [])).collect()}
+    assert set(got) == {i for i, *_, q, p in rows if p and q and q.strip()}
+    assert {r.sentiment for r in got.values()} == {"1"}
+    for i, r in got.items():
+        assert r.primary_theme == f"[{verbatim.PROMPT_VERSION}] " + verbatim.PROMPT.format(question=f"What about m{i % 3}?", response=f"answer {i % 7}")
+
+
+def test_prompt_template_may_name_the_response_first(spark):
+    df = spark.createDataFrame([("q", "r"), (None, "r"), ("q", None)], "q string, r string")
+    got = [r[0] for r in df.select(verbatim.prompt_of(F.col("q"), F.col("r"), "{response} / {question}.", "v")).collect()]
+    assert got == ["[v] r / q.", "[v] r / .", None]
