@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyloom.functions import parse, stats
 from tallyloom.operators import calibration, metrics, quality, reshape, stability
@@ -78,8 +78,8 @@ def modality_compare(t: Tables) -> DataFrame:
 @query(f"""select l_linenumber, count(*) as n_pairs, round(avg((a.l_returnflag = b.l_returnflag)::bigint), 6) as agreement_rate
   from {_RUNS} a join {_RUNS} b using (l_orderkey, l_linenumber) where a.run_no < b.run_no group by 1""")
 def answer_stability(t: Tables) -> DataFrame:
-    paired = stability.pairs(replicates(t), ["l_orderkey", "l_linenumber"], "run_no", ["l_returnflag"])
-    return stability.agreement(paired, ["l_linenumber"], "l_returnflag")
+    got = stability.agreement_of(t.lineitem, ["l_orderkey", "l_linenumber"], ["l_linenumber"], {"flag": c("l_returnflag")}).filter("n_run_pairs > 0")
+    return got.select("l_linenumber", c("n_run_pairs").alias("n_pairs"), F.round(stats.share(c("n_same"), c("n_pairs")), 6).alias("agreement_rate"))
 
 
 _FIELDS = {"rating": "l_quantity", "selected": "nullif(l_returnflag, 'N')", "verbatim": "l_linestatus || l_returnflag"}
@@ -89,16 +89,16 @@ _FIELDS = {"rating": "l_quantity", "selected": "nullif(l_returnflag, 'N')", "ver
     f"""select '{f}' as field, count(*) filter (where a.{f} is not null and b.{f} is not null)::bigint as n_pairs, round(count(*) filter (where a.{f} = b.{f}) / nullif(count(*) filter (where a.{f} is not null and b.{f} is not null), 0), 6) as agreement_rate
   from (select *, {x} as {f} from {_RUNS}) a join (select *, {x} as {f} from {_RUNS}) b using (l_orderkey, l_linenumber) where a.run_no < b.run_no""" for f, x in _FIELDS.items()))
 def replicate_fields(t: Tables) -> DataFrame:
-    rows = replicates(t).withColumns({"rating": c("l_quantity"), "selected": F.nullif(c("l_returnflag"), F.lit("N")), "verbatim": F.concat("l_linestatus", "l_returnflag")})
-    paired = stability.pairs(rows, ["l_orderkey", "l_linenumber"], "run_no", list(_FIELDS))
-    return stability.agreement_by_field(paired, {f: (c(f"{f}_a"), c(f"{f}_b")) for f in _FIELDS})
+    fields = {"rating": c("l_quantity"), "selected": F.nullif(c("l_returnflag"), F.lit("N")), "verbatim": F.concat("l_linestatus", "l_returnflag")}
+    got = stability.agreement_of(t.lineitem, ["l_orderkey", "l_linenumber"], [], fields)
+    return got.select("field", "n_pairs", F.round(stats.share(c("n_same"), c("n_pairs")), 6).alias("agreement_rate"))
 
 
 def _shares(t: Tables, segment: str, name: str) -> DataFrame:
     rows = answers(t).filter(c("c_mktsegment") == segment)
     g = rows.groupBy("o_orderstatus", "o_orderpriority").agg(F.count("*").alias("k"))
-    total = rows.groupBy("o_orderstatus").agg(F.count("*").alias("n"))
-    return g.join(total, "o_orderstatus").select("o_orderstatus", "o_orderpriority", F.round(stats.share(c("k"), c("n")), 6).alias(name))
+    total = F.sum("k").over(Window.partitionBy("o_orderstatus"))  # over one row per status and priority
+    return g.select("o_orderstatus", "o_orderpriority", F.round(stats.share(c("k"), total), 6).alias(name))
 
 
 def _shares_sql(segment: str, name: str) -> str:

@@ -13,18 +13,16 @@ c = F.col
 
 def blocks(t: Tables) -> DataFrame:
     """lineitem made wide: per order, blocks Q1..Q7 of the largest quantity and flag by line number."""
-    li = t.lineitem.filter("l_orderkey % 7 <> 0 or l_linenumber <> 3")
     aggs = []
     for i in range(1, 8):
         own = lambda x, i=i: F.max(F.when(c("l_linenumber") == i, x))
         aggs += [own(c("l_quantity")).alias(f"Q{i}_quantity"), own(c("l_returnflag")).alias(f"Q{i}_flag")]
-    return li.groupBy("l_orderkey").agg(*aggs)
+    return t.lineitem.groupBy("l_orderkey").agg(*aggs)
 
 
 BLOCKS = [{"quantity": f"Q{i}_quantity", "flag": f"Q{i}_flag"} for i in range(1, 8)]
 _LONG = """
-with wide as (select l_orderkey, l_linenumber, max(l_quantity) quantity, max(l_returnflag) flag from lineitem
-  where l_orderkey % 7 <> 0 or l_linenumber <> 3 group by all),
+with wide as (select l_orderkey, l_linenumber, max(l_quantity) quantity, max(l_returnflag) flag from lineitem group by all),
 keys as (select distinct l_orderkey from wide)
 select k.l_orderkey, q.i::bigint as q_idx, w.quantity, w.flag from keys k cross join range(1, 8) q(i)
 left join wide w on w.l_orderkey = k.l_orderkey and w.l_linenumber = q.i
@@ -185,9 +183,9 @@ def safe_cast(t: Tables) -> DataFrame:
 
 
 @query("""select conv_id, turn, translate(q, '‘’“”', '''''""') as norm, q <> translate(q, '‘’“”', '''''""') as changed from
-  (select conv_id, turn, '“' || left(text, 40) || '” it’s ‘so’' as q from conversations)""")
+  (select conv_id, turn, '“' || text || '” it’s ‘so’' as q from conversations)""")
 def quote_norm(t: Tables) -> DataFrame:
-    q = F.concat(F.lit("“"), F.substring("text", 1, 40), F.lit("” it’s ‘so’"))
+    q = F.concat(F.lit("“"), "text", F.lit("” it’s ‘so’"))
     return t.conversations.select("conv_id", "turn", text.straighten(q).alias("norm"), (q != text.straighten(q)).alias("changed"))
 
 
