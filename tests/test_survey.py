@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.operators import calibration, metrics, ml, model, quality, reshape, stability
+from tallyloom.plans import survey
 from tallyloom.sources import crosstab, sink, wide_csv
 from tallyloom.streaming import ingest
 
@@ -233,6 +234,36 @@ def test_dq_cohort_sizes_and_replicated_rows(raw, built):
     assert observed(**{"DQ04:G.1": 1, "DQ04:G.2": 1, "DQ04:S.1": 1, "DQ04:S.2": 1})["DQ04"] == (1, False)
 
 
+@pytest.mark.parametrize("written", [False, True])
+def test_build_from_files_to_marts(spark, files, built, tmp_path, written):
+    persona, resp, fact = built
+    got = survey.build(spark, {"2.1": str(files)}, {"2.1": N}, path=str(tmp_path / "out") if written else None)
+    assert {r.archetype_id for r in got.personas.collect()} == {r.archetype_id for r in persona.collect()}
+    assert sum(r.n_rows for r in got.runs.collect()) == 4
+    key = ["archetype_id", "slot_key", "run_id", "is_primary_run", "primary_code", "qual_text"]
+    assert sorted(got.facts.select(*key).collect(), key=str) == sorted(fact.select(*key).collect(), key=str)
+    totals = {(r.meta, r.question_text): r.n for r in got.banner.filter("cut_name = 'TOTAL'").collect()}
+    assert totals == {("POSTINT", "Would you watch?"): 3, ("ELEMENT1", "Rate it"): 6, ("LIKE", "Why?"): 3}
+    men = {r.n for r in got.banner.filter("cut_name = 'GENDER' and cut_value = 'Male' and meta = 'POSTINT'").collect()}
+    assert men == {1}
+    same = {(r.meta, r.field): (r.n_pairs, r.n_same) for r in got.stability.collect()}
+    assert same["POSTINT", "code"] == (1, 0) and same["ELEMENT1", "code"] == (2, 1) and same["LIKE", "verbatim"] == (1, 0)
+    assert {r.archetype_id: r.postint_tb for r in got.drivers.collect()} == {"p1": True, "p2": False, "p3": False}
+    assert got.universe.count() == 4 + 5  # POSTINT has the codes 1, 2, 3, 5; ELEMENT1 those and 1 with a label of its own
+
+
+def test_build_of_sections_of_other_widths(spark, tmp_path):
+    from tallyloom.sources import wide_csv as w
+
+    for n, name in ((1, "7-S-G-gr1-2.1 — R.csv"), (2, "7-S-G-gr1-2.2 — R.csv")):
+        row = dict.fromkeys(w.columns(n), "") | {"archetype_id": "p", "group_name": "A-G-gr.1", "archetype_age_range": "30"}
+        row |= {f"Q{i}_{k}": v for i in range(1, n + 1) for k, v in select(f"q{i}", f"M{n}", "1. 1. Yes").items()}
+        write(tmp_path / name, [row], w.columns(n))
+    got = survey.build(spark, {"2.1": str(tmp_path / "*2.1*"), "2.2": str(tmp_path / "*2.2*")}, {"2.1": 1, "2.2": 2})
+    assert got.personas.count() == 1 and got.facts.count() == 3
+    assert {(r.section_code, r.meta, r.question_text) for r in got.facts.collect()} == {("2.1", "M1", "q1"), ("2.2", "M2", "q1"), ("2.2", "M2", "q2")}
+
+
 def test_driver_feature_mart(built):
     persona, _, fact = built
     boxed = metrics.with_boxes(fact)
